@@ -1,0 +1,43 @@
+"""Small intermediate tables written once to the shared checkpoint folder.
+
+Writing an intermediate result does three things a lazy plan cannot: it is
+computed once however many branches read it, it outlives a lost executor, and
+its size on disk is known when the next plan is made, so Spark broadcasts it
+below ``spark.sql.autoBroadcastJoinThreshold`` and sort-merge joins it above.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+_CHECKPOINT_SETTING = "spark.checkpoint.dir"
+
+
+def staging_root(spark: SparkSession) -> str | None:
+    """The shared folder, a temporary one in local mode, else None."""
+    configured = spark.conf.get(_CHECKPOINT_SETTING, None)
+    if configured:
+        return configured
+    if spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="clickstrata-")
+        spark.conf.set(_CHECKPOINT_SETTING, folder)
+        return folder
+    return None
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` and return it read back.
+
+    On a cluster that names no shared folder the input is returned as it is:
+    the result is the same, only the plan stays lazy.
+    """
+    spark = df.sparkSession
+    root = staging_root(spark)
+    if root is None:
+        return df
+    path = f"{root.rstrip('/')}/clickstrata/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
