@@ -21,6 +21,7 @@ from clickstrata.operators import (
     validation,
 )
 from clickstrata.plans.jobs import Jobs
+from clickstrata.session import tune
 
 # The scope the purge query removes: the events injected with broken ids.
 PURGE_SCOPE = maintenance.Scope(event_prefix="py_dup_", tracking_prefix="trk_unknown_")
@@ -278,6 +279,6 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The catalog as (spark, folder) -> DataFrame callables."""
 
     def bind(job: Callable[[Jobs], DataFrame]):
-        return lambda spark, folder: portable(job(Jobs(spark, folder)))
+        return lambda spark, folder: portable(job(Jobs(tune(spark), folder)))
 
     return {name: bind(job) for name, job in catalog().items()}
