@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,24 +20,32 @@ class Rule:
     record: Column
 
 
+def any_hit(rules: Sequence[Rule]) -> Column:
+    """Whether a row breaks any rule; FALSE where the conditions are NULL."""
+    return F.coalesce(reduce(or_, [rule.when for rule in rules]), F.lit(False))
+
+
 def emit(rows: DataFrame, rules: Sequence[Rule], keep: Sequence[str] = ()) -> DataFrame:
     """All hits of all rules as a bag, reading ``rows`` once.
 
     One rule is a plain filter.  Several become one array per row that is
     exploded, so a row hit by two rules yields two records and the input is
-    neither scanned nor shuffled once per rule.
+    neither scanned nor shuffled once per rule.  Rows without a hit leave
+    before any array or text is built.
     """
     kept = [F.col(name) for name in keep]
+    suspects = rows.filter(any_hit(rules))
     if len(rules) == 1:
-        (rule,) = rules
-        return rows.filter(rule.when).select(*kept, rule.record.alias("_hit")).select(
-            *kept, "_hit.*"
+        found = suspects.select(*kept, rules[0].record.alias("_hit"))
+    else:
+        each = F.array(*[F.when(rule.when, rule.record) for rule in rules])
+        found = suspects.select(*kept, F.explode(each).alias("_hit")).filter(
+            F.col("_hit").isNotNull()
         )
-    return rows.select(*kept, F.explode(hits(rules)).alias("_hit")).select(
-        *kept, "_hit.*"
-    )
+    return found.select(*kept, "_hit.*")
 
 
 def hits(rules: Sequence[Rule]) -> Column:
-    """The records of every rule a row breaks, as an array (empty when none)."""
-    return F.array_compact(F.array(*[F.when(r.when, r.record) for r in rules]))
+    """The records of every rule a row breaks, as an array; NULL when none."""
+    each = [F.when(rule.when, rule.record) for rule in rules]
+    return F.when(any_hit(rules), F.array_compact(F.array(*each)))

@@ -1,9 +1,9 @@
 """Splitting raw events into clean rows and typed validation errors.
 
 Eight rules, one pass: duplicate event ids are found by a narrow aggregate,
-every event meets its ad request in one join on ``tracking_id``, and an array
-column carries the reasons an event fails.  Rejected rows explode that array,
-clean rows are those where it is empty, so both sides always add up to raw.
+every event meets its ad request in one join on ``tracking_id``, and the rules
+are conditions over that row.  Every event breaks some rule or none, so rejected
+and clean rows always add up to raw.
 
 Asked for on their own, single rules and the clean table run leaner plans that
 read only the columns they need.
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickstrata.functions.rules import Rule, emit, hits
+from clickstrata.functions.rules import Rule, any_hit, emit, hits
 from clickstrata.functions.text import message
 from clickstrata.sources.staging import stage
 
@@ -150,10 +150,10 @@ def duplicate_event_ids(raw: DataFrame) -> DataFrame:
     return stage(repeated, "duplicate-event-ids")
 
 
-def classify_events(
+def checked_events(
     raw: DataFrame, requests: DataFrame, duplicates: DataFrame | None = None
-) -> DataFrame:
-    """Raw events plus ``errors``: an array of (error_type, error_message).
+) -> tuple[DataFrame, list[Rule]]:
+    """Raw events next to their ad request, and the eight rules over that.
 
     An unknown tracking id has no request to differ from, so the five
     mismatch rules only apply where the request was found.
@@ -171,6 +171,14 @@ def classify_events(
         _duplicate(F.col("_repeated")),
         *[_mismatch(column, known) for column in MISMATCHES],
     ]
+    return met, rules
+
+
+def classify_events(
+    raw: DataFrame, requests: DataFrame, duplicates: DataFrame | None = None
+) -> DataFrame:
+    """Raw events plus ``errors``: (error_type, error_message) structs or NULL."""
+    met, rules = checked_events(raw, requests, duplicates)
     return met.withColumn("errors", hits(rules)).select(*raw.columns, "errors")
 
 
@@ -178,11 +186,8 @@ def validation_errors(
     raw: DataFrame, requests: DataFrame, duplicates: DataFrame | None = None
 ) -> DataFrame:
     """Every broken rule of every event; an event may appear several times."""
-    return (
-        classify_events(raw, requests, duplicates)
-        .select(*ERROR_KEYS, F.explode("errors").alias("_error"))
-        .select(*ERROR_KEYS, "_error.*")
-    )
+    met, rules = checked_events(raw, requests, duplicates)
+    return emit(met, rules, ERROR_KEYS)
 
 
 def single_rule_errors(
@@ -247,13 +252,13 @@ def events_clean(
 
 def clean_of(classified: DataFrame) -> DataFrame:
     """The clean half of an already classified (stored) raw table."""
-    return _as_clean(classified.filter(F.size("errors") == 0))
+    return _as_clean(classified.filter(F.col("errors").isNull()))
 
 
 def errors_of(classified: DataFrame) -> DataFrame:
     """The rejected half of an already classified (stored) raw table."""
     return (
-        classified.filter(F.size("errors") > 0)
+        classified.filter(F.col("errors").isNotNull())
         .select(*ERROR_KEYS, F.explode("errors").alias("_error"))
         .select(*ERROR_KEYS, "_error.*")
     )
@@ -263,11 +268,11 @@ def pipeline_counts(
     raw: DataFrame, requests: DataFrame, duplicates: DataFrame | None = None
 ) -> DataFrame:
     """Raw, clean and rejected event counts in one row from one pass."""
-    broken = F.size("errors")
-    return classify_events(raw, requests, duplicates).agg(
+    met, rules = checked_events(raw, requests, duplicates)
+    return met.select(any_hit(rules).alias("broken")).agg(
         F.count(F.lit(1)).alias("raw_events"),
-        F.count_if(broken == 0).alias("clean_events"),
-        F.count_if(broken > 0).alias("rejected_raw_events"),
+        F.count_if(~F.col("broken")).alias("clean_events"),
+        F.count_if("broken").alias("rejected_raw_events"),
     )
 
 

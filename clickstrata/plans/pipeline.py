@@ -62,7 +62,7 @@ class Pipeline:
             self.inputs.events_raw, self.inputs.ad_requests
         )
         self._validated_writer(
-            classified.withColumn("is_clean", F.size("errors") == 0)
+            classified.withColumn("is_clean", F.col("errors").isNull())
         ).parquet(self.warehouse.path(VALIDATED))
         self.warehouse.full_refresh(
             "event_validation_errors", logged(validation.errors_of(self._half(False)))
