@@ -29,6 +29,11 @@ from clickstrata.sources.tables import Warehouse, logged
 # the clean table, the other half holds few rows and yields the error log.
 VALIDATED = "events_validated"
 
+# One alert log in two folders.  Quality alerts grow with the events, those of
+# the monitoring do not, so refreshing one kind never rewrites the other.
+QUALITY_ALERTS = "alerts_quality"
+MONITORING_ALERTS = "alerts_monitoring"
+
 
 @dataclass(frozen=True)
 class Inputs:
@@ -135,31 +140,25 @@ class Pipeline:
 
     def check_quality(self) -> None:
         """Replace the data-quality alerts, leaving the monitoring ones alone."""
-        self.warehouse.refresh_partitions(
-            "alerts",
-            logged(
-                quality_alerts.quality_alerts(
-                    self.inputs.events_raw,
-                    self.inputs.ad_requests,
-                    self.inputs.campaigns,
-                )
-            ),
+        fresh = quality_alerts.quality_alerts(
+            self.inputs.events_raw, self.inputs.ad_requests, self.inputs.campaigns
         )
+        self.warehouse.full_refresh(QUALITY_ALERTS, logged(fresh))
 
     def monitor(self) -> None:
-        """Replace the monitoring alerts, leaving the data-quality ones alone.
-
-        A group that no longer has alerts must lose its old ones too, which a
-        partition overwrite alone would not do.
-        """
-        fresh = logged(
-            monitoring.monitoring_alerts(
-                self.warehouse.read("daily_campaign_metrics"),
-                self.inputs.campaigns,
-                self.warehouse.read("experiment_results"),
-                self.limits,
-            )
+        """Replace the monitoring alerts, leaving the data-quality ones alone."""
+        fresh = monitoring.monitoring_alerts(
+            self.warehouse.read("daily_campaign_metrics"),
+            self.inputs.campaigns,
+            self.warehouse.read("experiment_results"),
+            self.limits,
         )
-        self.warehouse.replace_groups(
-            "alerts", fresh, "rule_group", alerting.MONITORING_GROUPS
+        self.warehouse.full_refresh(MONITORING_ALERTS, logged(fresh))
+
+    @property
+    def alerts(self) -> DataFrame:
+        """The whole alert log."""
+        return alerting.union_alerts(
+            self.warehouse.read(QUALITY_ALERTS, declared_as="alerts"),
+            self.warehouse.read(MONITORING_ALERTS, declared_as="alerts"),
         )

@@ -11,7 +11,12 @@ from hand_rows import six_funnels, with_anomalies
 from pyspark.sql import functions as F
 
 from clickstrata.operators import alerting, audit, maintenance, reporting
-from clickstrata.plans.pipeline import Inputs, Pipeline
+from clickstrata.plans.pipeline import (
+    MONITORING_ALERTS,
+    QUALITY_ALERTS,
+    Inputs,
+    Pipeline,
+)
 from clickstrata.sources.staging import stage
 from clickstrata.sources.tables import Warehouse
 
@@ -38,16 +43,16 @@ def test_pipeline_stores_every_table(spark, tmp_path, mixed):
     assert daily.agg(F.sum("impressions")).first()[0] == 6
     assert (tmp_path / "daily_campaign_metrics" / "metric_date=2026-06-01").is_dir()
     assert warehouse.read("experiment_results").count() == 2
-    alerts = warehouse.read("alerts").collect()
-    assert Counter(r["rule_group"] for r in alerts)["data_quality"] == 10
+    groups = Counter(r["rule_group"] for r in pipeline.alerts.collect())
+    assert groups["data_quality"] == 10
 
 
 def test_pipeline_can_run_again(spark, tmp_path, mixed):
     pipeline = pipeline_over(spark, tmp_path, mixed)
     pipeline.run()
-    before = pipeline.warehouse.read("alerts").count()
+    before = pipeline.alerts.count()
     pipeline.run()
-    assert pipeline.warehouse.read("alerts").count() == before
+    assert pipeline.alerts.count() == before
     assert pipeline.events_clean.count() == 19
 
 
@@ -57,16 +62,13 @@ def test_monitoring_refresh_leaves_quality_alerts_and_drops_stale_ones(
     pipeline = pipeline_over(spark, tmp_path, mixed)
     pipeline.run()
     warehouse = pipeline.warehouse
-    stale = (
-        warehouse.read("alerts")
-        .limit(1)
-        .withColumn("rule_group", F.lit(alerting.GENERATED_MONITORING))
-    )
-    warehouse.append("alerts", stage(stale, "stale-alert"))
+    stale = warehouse.read(QUALITY_ALERTS, declared_as="alerts").limit(1)
+    stale = stale.withColumn("rule_group", F.lit(alerting.GENERATED_MONITORING))
+    warehouse.append(MONITORING_ALERTS, stale)
+    assert pipeline.alerts.count() == 11
     pipeline.monitor()
-    groups = Counter(r["rule_group"] for r in warehouse.read("alerts").collect())
-    assert groups["data_quality"] == 10
-    assert alerting.GENERATED_MONITORING not in groups
+    groups = Counter(r["rule_group"] for r in pipeline.alerts.collect())
+    assert groups == {"data_quality": 10}
 
 
 def test_refresh_of_some_days_leaves_the_others(spark, tmp_path):
