@@ -18,6 +18,18 @@ RECOMMENDED = {
 }
 
 
+def shuffle_partitions_for(
+    shuffled_bytes: int, cores: int, target_bytes: int = 256 * 1024**2
+) -> int:
+    """Initial shuffle partitions for a run of known size.
+
+    Adaptive execution merges partitions that turn out small but never adds
+    any, so a large run has to start with enough of them: each about
+    ``target_bytes``, which a task sorts in memory, and at least one per core.
+    """
+    return max(cores, -(-shuffled_bytes // target_bytes))
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the recommended settings to a session made elsewhere."""
     started_with = spark.sparkContext.getConf()

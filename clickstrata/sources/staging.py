@@ -10,24 +10,37 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder(application_id: str) -> str:
+    """A folder of our own for one local session."""
+    return tempfile.mkdtemp(prefix=f"clickstrata-{application_id}-")
+
+
 def staging_root(spark: SparkSession) -> str | None:
-    """The shared folder, a temporary one in local mode, else None."""
+    """The shared folder the session names; without one, a temporary folder in
+    local mode and None on a cluster, whose executors share no local disk."""
     configured = spark.conf.get(_CHECKPOINT_SETTING, None)
     if configured:
-        return configured
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="clickstrata-")
-        spark.conf.set(_CHECKPOINT_SETTING, folder)
-        return folder
+        return configured.rstrip("/")
+    context = spark.sparkContext
+    if context.master.startswith("local"):
+        return _local_folder(context.applicationId)
     return None
 
 
+def staging_path(spark: SparkSession, name: str) -> str | None:
+    """A fresh path under the shared folder."""
+    root = staging_root(spark)
+    return root and f"{root}/clickstrata/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` and return it read back.
 
@@ -35,9 +48,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     the result is the same, only the plan stays lazy.
     """
     spark = df.sparkSession
-    root = staging_root(spark)
-    if root is None:
+    path = staging_path(spark, name)
+    if path is None:
         return df
-    path = f"{root.rstrip('/')}/clickstrata/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

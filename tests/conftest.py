@@ -19,7 +19,6 @@ def spark(tmp_path_factory):
         **{
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
-            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )

@@ -17,7 +17,7 @@ from clickstrata.plans.pipeline import (
     Inputs,
     Pipeline,
 )
-from clickstrata.sources.staging import stage
+from clickstrata.sources.staging import stage, staging_root
 from clickstrata.sources.tables import Warehouse
 
 
@@ -148,6 +148,26 @@ def test_stage_reads_back_the_same_rows(spark):
     assert staged.exceptAll(df).isEmpty() and staged.count() == 100
 
 
+class WithoutSharedFolder:
+    """A session whose cluster names no checkpoint folder."""
+
+    def __init__(self, master):
+        self.conf = self
+        self.sparkContext = self
+        self.master = master
+        self.applicationId = "app-1"
+
+    def get(self, key, default):
+        return default
+
+
+def test_staging_never_uses_local_disk_on_a_cluster(spark):
+    assert staging_root(WithoutSharedFolder("yarn")) is None
+    folder = staging_root(WithoutSharedFolder("local[2]"))
+    assert os.path.isdir(folder)
+    assert staging_root(WithoutSharedFolder("local[2]")) == folder
+
+
 def test_audit_finds_each_kind_of_violation(spark, mixed):
     requests = mixed.ad_requests.unionByName(
         mixed.ad_requests.filter(F.col("tracking_id") == "trk_hand_001")
