@@ -210,6 +210,8 @@ def _dashboard() -> dict[str, Callable[[Jobs], DataFrame]]:
 
 def _upkeep() -> dict[str, Callable[[Jobs], DataFrame]]:
     def audited(j: Jobs) -> DataFrame:
+        # The clean table is read by several checks and by the daily tables.
+        j.events_clean = j.stored_events_clean
         return audit.constraint_audit(
             {
                 "publishers": j.publishers,
@@ -220,7 +222,12 @@ def _upkeep() -> dict[str, Callable[[Jobs], DataFrame]]:
                 "experiments": j.experiments,
                 "ad_requests": j.ad_requests,
                 "events_raw": j.events_raw,
-                "events_clean": j.stored_events_clean,
+                "events_clean": j.events_clean,
+                "daily_campaign_metrics": j.stored_daily_campaign,
+                "daily_app_metrics": j.stored_daily_app,
+                "alerts": j.alerts,
+                "experiment_results": j.stored_experiment_results,
+                "event_validation_errors": j.stored_validation_errors,
             }
         )
 

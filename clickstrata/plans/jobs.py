@@ -70,10 +70,18 @@ class Jobs(DriverTables):
     def stored_events_clean(self) -> DataFrame:
         return stage(self.events_clean, "events-clean")
 
+    @cached_property
+    def stored_validation_errors(self) -> DataFrame:
+        return stage(self.validation_errors, "event-validation-errors")
+
     @cached_property
     def stored_daily_campaign(self) -> DataFrame:
         return stage(self.daily_campaign, "daily-campaign-metrics")
 
+    @cached_property
+    def stored_daily_app(self) -> DataFrame:
+        return stage(self.daily_app, "daily-app-metrics")
+
     @cached_property
     def stored_experiment_results(self) -> DataFrame:
         return stage(self.experiment_results, "experiment-results")

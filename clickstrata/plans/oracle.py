@@ -376,13 +376,13 @@ def _union(parts) -> str:
 # Steps in an order in which each only uses earlier ones.
 _STEPS: dict[str, str] = {
     **{name: mapping.sql() for name, mapping in mappings(duckdb_stamp).items()},
-    "validation_errors": _union(_ERRORS.values()),
+    "event_validation_errors": _union(_ERRORS.values()),
     "events_clean": """
         SELECT e.event_id, e.tracking_id, e.campaign_id, e.app_id, e.user_id,
                e.event_type, e.event_time, coalesce(e.revenue, 0) AS revenue,
                coalesce(e.reward_cost, 0) AS reward_cost, e.country, e.platform
         FROM events_raw e JOIN ad_requests q ON q.tracking_id = e.tracking_id
-        WHERE e.raw_event_id NOT IN (SELECT raw_event_id FROM validation_errors)""",
+        WHERE e.raw_event_id NOT IN (SELECT raw_event_id FROM event_validation_errors)""",
     "daily_campaign_metrics": _daily_campaign("events_clean"),
     "daily_app_metrics": _daily_app("events_clean"),
     "campaign_period": f"""
@@ -407,7 +407,9 @@ _STEPS: dict[str, str] = {
         FROM ({_arms('x.experiment_name, x.variant, x.algorithm_name')})""",
     "quality_alerts": _union(_QUALITY_ALERTS.values()),
     "monitoring_alerts": _union(_MONITORING_ALERTS.values()),
-    "alerts": "SELECT * FROM quality_alerts UNION ALL SELECT * FROM monitoring_alerts",
+    "alerts": """
+        SELECT *, false AS is_resolved FROM quality_alerts
+        UNION ALL SELECT *, false FROM monitoring_alerts""",
 }
 
 
@@ -453,7 +455,14 @@ def _constraint_audit() -> str:
         "ad_requests",
         "events_raw",
         "events_clean",
+        "daily_campaign_metrics",
+        "daily_app_metrics",
+        "alerts",
+        "experiment_results",
+        "event_validation_errors",
     )
+    # Stamped when a table is written, so not part of a query's result.
+    stamped = ("created_at", "detected_at", "calculated_at")
     parts: list[str] = []
 
     def check(table: str, kind: str, column: str, violations: str) -> None:
@@ -465,7 +474,7 @@ def _constraint_audit() -> str:
     for name in audited:
         table = TABLES[name]
         for column in table.columns:
-            if column.name == "created_at":
+            if column.name in stamped:
                 continue
             rows = f"SELECT count(*) FROM {name} WHERE {column.name}"
             if column.required:
@@ -481,18 +490,16 @@ def _constraint_audit() -> str:
                     f"SELECT count(*) FROM {name} "
                     f"WHERE length({column.name}) > {column.max_length}",
                 )
-        for kind, keys in (
-            ("primary_key", [table.primary_key]),
-            ("unique", table.unique),
-        ):
-            for key in keys:
-                (single,) = key
-                check(
-                    name,
-                    kind,
-                    single,
-                    f"SELECT count(*) - count(DISTINCT {single}) FROM {name}",
-                )
+        keys = [("primary_key", table.primary_key)] if table.primary_key else []
+        for kind, key in keys + [("unique", key) for key in table.unique]:
+            names = ", ".join(key)
+            check(
+                name,
+                kind,
+                ",".join(key),
+                f"SELECT (SELECT count(*) FROM {name}) - "
+                f"(SELECT count(*) FROM (SELECT DISTINCT {names} FROM {name}))",
+            )
         for link in table.foreign_keys:
             check(
                 name,
@@ -530,7 +537,7 @@ _OVERVIEW = f"""
           FROM daily_campaign_metrics)"""
 
 _ERROR_SUMMARY = (
-    "SELECT error_type, count(*) AS error_count FROM validation_errors GROUP BY 1"
+    "SELECT error_type, count(*) AS error_count FROM event_validation_errors GROUP BY 1"
 )
 
 _ARM_TREND = f"""
@@ -609,12 +616,12 @@ _BODIES: dict[str, str] = {
     "dq_alerts_all": "SELECT *, false AS is_resolved FROM quality_alerts",
     "dq_alerts_listing": "SELECT *, false AS is_resolved FROM quality_alerts",
     **{f"val_{name}": sql for name, sql in _ERRORS.items()},
-    "validation_errors": "SELECT * FROM validation_errors",
+    "validation_errors": "SELECT * FROM event_validation_errors",
     "events_clean": "SELECT * FROM events_clean",
     "pipeline_counts": """
     SELECT (SELECT count(*) FROM events_raw) AS raw_events,
            (SELECT count(*) FROM events_clean) AS clean_events,
-           (SELECT count(DISTINCT raw_event_id) FROM validation_errors)
+           (SELECT count(DISTINCT raw_event_id) FROM event_validation_errors)
                AS rejected_raw_events""",
     "validation_error_summary": _ERROR_SUMMARY,
     "clean_event_distribution": """
@@ -670,15 +677,15 @@ _BODIES: dict[str, str] = {
            || {text('CAST(conversion_rate_lift_percent AS DECIMAL(18,2))')}
            || '%, with a profit delta of ' || {_money_text('profit_delta')} || '.' AS summary
     FROM ({_uplift()})""",
-    "alerts_view": "SELECT *, false AS is_resolved FROM alerts",
+    "alerts_view": "SELECT * FROM alerts",
     "alert_summary": """
     SELECT alert_type, severity, count(*) AS alert_count FROM alerts GROUP BY ALL""",
     "validation_summary_view": _ERROR_SUMMARY,
-    "rejected_events_view": "SELECT * FROM validation_errors",
+    "rejected_events_view": "SELECT * FROM event_validation_errors",
     "constraint_audit": _constraint_audit(),
     "scoped_purge": f"""
     SELECT 'event_validation_errors' AS table_name, count(*) AS survivors
-    FROM validation_errors
+    FROM event_validation_errors
     WHERE raw_event_id NOT IN (SELECT raw_event_id FROM events_raw WHERE {_DOOMED})
     UNION ALL
     SELECT 'events_clean', count(*) FROM events_clean WHERE {_DOOMED} IS NOT TRUE

@@ -22,6 +22,7 @@ PERCENT = T.DecimalType(18, 2)
 PLATFORMS = ("android", "ios")
 CAMPAIGN_STATUSES = ("active", "paused")
 VARIANTS = ("A", "B")
+NOW = "now"
 EVENT_TYPES = ("impression", "click", "install", "conversion", "reward")
 ALERT_TYPES = ("data_quality", "performance", "experiment")
 SEVERITIES = ("low", "medium", "high")
@@ -35,6 +36,9 @@ class Column:
     required: bool = True
     max_length: int | None = None
     domain: tuple[str, ...] | None = None
+    # What an insert that leaves the column out stores: text Spark casts to
+    # the column's type, or NOW; None stores NULL.
+    default: str | None = None
 
 
 @dataclass(frozen=True)
@@ -67,23 +71,33 @@ def _text(name: str, size: int | None = None, required: bool = True) -> Column:
     return Column(name, T.StringType(), required, max_length=size)
 
 
-def _enum(name: str, domain: tuple[str, ...], required: bool = True) -> Column:
-    return Column(name, T.StringType(), required, domain=domain)
+def _enum(
+    name: str,
+    domain: tuple[str, ...],
+    required: bool = True,
+    default: str | None = None,
+) -> Column:
+    return Column(name, T.StringType(), required, domain=domain, default=default)
 
 
-def _decimal(name: str, kind: T.DecimalType, required: bool = True) -> Column:
-    return Column(name, kind, required)
+def _decimal(
+    name: str,
+    kind: T.DecimalType,
+    required: bool = True,
+    default: str | None = None,
+) -> Column:
+    return Column(name, kind, required, default=default)
 
 
-def _time(name: str, required: bool = True) -> Column:
-    return Column(name, T.TimestampNTZType(), required)
+def _time(name: str, required: bool = True, default: str | None = None) -> Column:
+    return Column(name, T.TimestampNTZType(), required, default=default)
 
 
 def _date(name: str, required: bool = True) -> Column:
     return Column(name, T.DateType(), required)
 
 
-_CREATED = _time("created_at", required=False)
+_CREATED = _time("created_at", required=False, default=NOW)
 _TO_CAMPAIGN = ForeignKey("campaign_id", "campaigns", "campaign_id")
 _TO_APP = ForeignKey("app_id", "apps", "app_id")
 _TO_USER = ForeignKey("user_id", "users", "user_id")
@@ -134,7 +148,7 @@ _DECLARED = (
             _text("target_category", 50),
             _decimal("bid_cpi", PRICE),
             _decimal("daily_budget", T.DecimalType(12, 2)),
-            _enum("status", CAMPAIGN_STATUSES, required=False),
+            _enum("status", CAMPAIGN_STATUSES, required=False, default="active"),
             _CREATED,
         ),
         primary_key=("campaign_id",),
@@ -198,8 +212,8 @@ _DECLARED = (
             _long("user_id", required=False),
             _enum("event_type", EVENT_TYPES),
             _time("event_time"),
-            _decimal("revenue", PRICE, required=False),
-            _decimal("reward_cost", PRICE, required=False),
+            _decimal("revenue", PRICE, required=False, default="0.00"),
+            _decimal("reward_cost", PRICE, required=False, default="0.00"),
             _text("country", 2, required=False),
             _enum("platform", PLATFORMS, required=False),
             _CREATED,
@@ -217,8 +231,8 @@ _DECLARED = (
             _long("user_id"),
             _enum("event_type", EVENT_TYPES),
             _time("event_time"),
-            _decimal("revenue", PRICE),
-            _decimal("reward_cost", PRICE),
+            _decimal("revenue", PRICE, default="0.00"),
+            _decimal("reward_cost", PRICE, default="0.00"),
             _text("country", 2),
             _enum("platform", PLATFORMS),
         ),
@@ -276,10 +290,11 @@ _DECLARED = (
             _enum("entity_type", ENTITY_TYPES),
             _text("entity_id", 100, required=False),
             _text("alert_message"),
-            _time("detected_at"),
-            Column("is_resolved", T.BooleanType()),
+            _time("detected_at", default=NOW),
+            Column("is_resolved", T.BooleanType(), default="false"),
         ),
-        primary_key=("rule_id", "entity_id", "alert_message"),
+        # A bag: the same finding may be logged once per offending event.
+        primary_key=(),
     ),
     Table(
         "experiment_results",
@@ -302,7 +317,7 @@ _DECLARED = (
             _decimal("reward_cost", MONEY),
             _decimal("profit", MONEY),
             _decimal("ecpm", MONEY),
-            _time("calculated_at"),
+            _time("calculated_at", default=NOW),
         ),
         primary_key=("experiment_name", "variant", "algorithm_name"),
     ),
@@ -314,7 +329,7 @@ _DECLARED = (
             _text("tracking_id", 100, required=False),
             _text("error_type", 100),
             _text("error_message"),
-            _time("detected_at"),
+            _time("detected_at", default=NOW),
         ),
         primary_key=("raw_event_id", "error_type"),
         foreign_keys=(ForeignKey("raw_event_id", "events_raw", "raw_event_id"),),

@@ -206,3 +206,15 @@ def test_declared_schemas_fit_what_the_jobs_store(spark, tmp_path, mixed):
     stored = warehouse.read("daily_app_metrics")
     assert stored.count() == daily.count()
     assert set(stored.columns) == set(daily.columns)
+
+
+def test_insert_fills_columns_that_are_left_out(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    rows = spark.createDataFrame(
+        [(1, "e1", "click", None)],
+        "raw_event_id int, event_id string, event_type string, reward_cost decimal(10,2)",
+    )
+    warehouse.insert("events_raw", rows.withColumn("event_time", F.lit(datetime(2026, 6, 1))))
+    row = warehouse.read("events_raw").first()
+    assert (row["revenue"], row["reward_cost"]) == (0, None)
+    assert row["tracking_id"] is None and row["created_at"] is not None
