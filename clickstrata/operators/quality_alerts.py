@@ -17,16 +17,12 @@ from clickstrata.operators.alerting import (
 from clickstrata.operators.validation import meet_requests
 
 
-def missing_or_unknown_tracking(raw: DataFrame, requests: DataFrame) -> DataFrame:
-    """One alert per event without a tracking id or with an unknown one."""
+def _lost_tracking() -> Rule:
     kind = AlertKind(
         "dq_missing_or_unknown_tracking", DATA_QUALITY, "data_quality", "high", "tracking_id"
     )
-    lost = meet_requests(
-        raw.select("raw_event_id", "event_id", "tracking_id"), requests, "left_anti"
-    )
     tracking_id = shown(F.col("tracking_id"))
-    rule = kind.rule(
+    return kind.rule(
         F.lit(True),
         tracking_id,
         "Event ",
@@ -34,15 +30,13 @@ def missing_or_unknown_tracking(raw: DataFrame, requests: DataFrame) -> DataFram
         " has missing or unknown tracking_id: ",
         tracking_id,
     )
-    return emit(lost, [rule])
 
 
-def duplicate_event_id(raw: DataFrame) -> DataFrame:
+def _repeated_event() -> Rule:
     kind = AlertKind(
         "dq_duplicate_event_id", DATA_QUALITY, "data_quality", "high", "system"
     )
-    copies = raw.groupBy("event_id").agg(F.count(F.lit(1)).alias("copies"))
-    rule = kind.rule(
+    return kind.rule(
         F.col("copies") > 1,
         F.col("event_id"),
         "Duplicate event_id detected: ",
@@ -51,7 +45,40 @@ def duplicate_event_id(raw: DataFrame) -> DataFrame:
         F.col("copies"),
         " times in events_raw.",
     )
-    return emit(copies, [rule])
+
+
+def missing_or_unknown_tracking(raw: DataFrame, requests: DataFrame) -> DataFrame:
+    """One alert per event without a tracking id or with an unknown one."""
+    lost = meet_requests(
+        raw.select("raw_event_id", "event_id", "tracking_id"), requests, "left_anti"
+    )
+    return emit(lost, [_lost_tracking()])
+
+
+def duplicate_event_id(raw: DataFrame) -> DataFrame:
+    """One alert per event id that occurs more than once."""
+    copies = raw.groupBy("event_id").agg(F.count(F.lit(1)).alias("copies"))
+    return emit(copies, [_repeated_event()])
+
+
+def identity_alerts_from_errors(errors: DataFrame) -> DataFrame:
+    """The two rules above, read off the stored validation errors.
+
+    The error log has a row per event with a missing or unknown tracking id
+    and one per copy of a duplicated event id, so neither the join with the
+    requests nor the count over all event ids has to run again.
+    """
+    lost = errors.filter(
+        F.col("error_type").isin("missing_tracking_id", "unknown_tracking_id")
+    )
+    copies = (
+        errors.filter(F.col("error_type") == "duplicate_event_id")
+        .groupBy("event_id")
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+    return union_alerts(
+        emit(lost, [_lost_tracking()]), emit(copies, [_repeated_event()])
+    )
 
 
 def _duplicate_installs() -> Rule:
@@ -190,13 +217,25 @@ def clicks_without_installs(raw: DataFrame) -> DataFrame:
 
 
 def quality_alerts(
-    raw: DataFrame, requests: DataFrame, campaigns: DataFrame
+    raw: DataFrame,
+    requests: DataFrame,
+    campaigns: DataFrame,
+    errors: DataFrame | None = None,
 ) -> DataFrame:
-    """All seven rules as one bag of open alerts."""
+    """All seven rules as one bag of open alerts.
+
+    With the stored validation ``errors`` the identity rules read those
+    instead of raw events and requests.
+    """
+    if errors is None:
+        identity = union_alerts(
+            missing_or_unknown_tracking(raw, requests), duplicate_event_id(raw)
+        )
+    else:
+        identity = identity_alerts_from_errors(errors)
     return open_alerts(
         union_alerts(
-            missing_or_unknown_tracking(raw, requests),
-            duplicate_event_id(raw),
+            identity,
             funnel_alerts(raw),
             targeting_mismatch(raw, campaigns),
             clicks_without_installs(raw),

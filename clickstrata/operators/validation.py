@@ -269,10 +269,19 @@ def pipeline_counts(
 ) -> DataFrame:
     """Raw, clean and rejected event counts in one row from one pass."""
     met, rules = checked_events(raw, requests, duplicates)
-    return met.select(any_hit(rules).alias("broken")).agg(
+    return _outcome_counts(met.select((~any_hit(rules)).alias("is_clean")))
+
+
+def stored_counts(validated: DataFrame) -> DataFrame:
+    """The same row off a stored classified table, reading no column but the split."""
+    return _outcome_counts(validated)
+
+
+def _outcome_counts(events: DataFrame) -> DataFrame:
+    return events.agg(
         F.count(F.lit(1)).alias("raw_events"),
-        F.count_if(~F.col("broken")).alias("clean_events"),
-        F.count_if("broken").alias("rejected_raw_events"),
+        F.count_if("is_clean").alias("clean_events"),
+        F.count_if(~F.col("is_clean")).alias("rejected_raw_events"),
     )
 
 

@@ -78,9 +78,13 @@ class Pipeline:
         # Two folders per task at most, so no shuffle to gather small files.
         return df.write.mode("overwrite").partitionBy("is_clean")
 
+    @property
+    def validated(self) -> DataFrame:
+        """Every raw event with its errors and ``is_clean``."""
+        return self.warehouse.spark.read.parquet(self.warehouse.path(VALIDATED))
+
     def _half(self, clean: bool) -> DataFrame:
-        stored = self.warehouse.spark.read.parquet(self.warehouse.path(VALIDATED))
-        return stored.filter(F.col("is_clean") == F.lit(clean))
+        return self.validated.filter(F.col("is_clean") == F.lit(clean))
 
     @property
     def events_clean(self) -> DataFrame:
@@ -141,7 +145,10 @@ class Pipeline:
     def check_quality(self) -> None:
         """Replace the data-quality alerts, leaving the monitoring ones alone."""
         fresh = quality_alerts.quality_alerts(
-            self.inputs.events_raw, self.inputs.ad_requests, self.inputs.campaigns
+            self.inputs.events_raw,
+            self.inputs.ad_requests,
+            self.inputs.campaigns,
+            errors=self.warehouse.read("event_validation_errors"),
         )
         self.warehouse.full_refresh(QUALITY_ALERTS, logged(fresh))
 

@@ -17,6 +17,9 @@ from clickstrata.plans.pipeline import (
     Inputs,
     Pipeline,
 )
+from clickstrata.plans.catalog import catalog
+from clickstrata.plans.jobs import Jobs
+from clickstrata.plans.views import dashboard_views, health_views, report_views
 from clickstrata.sources.staging import stage, staging_root
 from clickstrata.sources.tables import Warehouse
 
@@ -47,6 +50,28 @@ def test_pipeline_stores_every_table(spark, tmp_path, mixed):
     assert groups["data_quality"] == 10
 
 
+def test_stored_views_equal_the_registered_queries(spark, tmp_path):
+    folder = "/root/testdata/sf0.001"
+    jobs = Jobs(spark, folder)
+    # The fixture's event keys are text, which the declared schema is not.
+    numbered = jobs.events_raw.withColumn("raw_event_id", F.xxhash64("raw_event_id"))
+    inputs = Inputs(numbered, jobs.ad_requests, jobs.campaigns, jobs.experiments)
+    pipeline = Pipeline(Warehouse(spark, str(tmp_path)), inputs, jobs.scope)
+    pipeline.run()
+    views = {
+        **dashboard_views(pipeline, jobs.apps, jobs.publishers),
+        **report_views(pipeline, jobs.apps, jobs.publishers),
+        **health_views(pipeline),
+    }
+    stamped = {"detected_at", "raw_event_id"}
+    for name, view in views.items():
+        expected = catalog()[name](jobs)
+        columns = sorted(set(expected.columns) - stamped)
+        assert sorted(set(view.columns) - stamped) == columns, name
+        found = Counter(map(tuple, view.select(*columns).collect()))
+        assert found == Counter(map(tuple, expected.select(*columns).collect())), name
+
+
 def test_pipeline_can_run_again(spark, tmp_path, mixed):
     pipeline = pipeline_over(spark, tmp_path, mixed)
     pipeline.run()
