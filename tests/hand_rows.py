@@ -17,6 +17,10 @@ def money(value: str | None) -> Decimal | None:
     return None if value is None else Decimal(value)
 
 
+def plan_of(df: DataFrame) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 class Hand:
     """Collects rows and turns them into typed DataFrames."""
 

@@ -6,9 +6,9 @@ from collections import Counter
 from datetime import datetime
 
 import pytest
+from hand_rows import plan_of
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from clickstrata.operators import experiments, quality_alerts, reporting, validation
 from clickstrata.plans.jobs import Jobs
 from clickstrata.schemas import TABLES
@@ -16,25 +16,6 @@ from clickstrata.schemas import TABLES
 FOLDER = "/root/testdata/sf0.001"
 
 
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-@pytest.mark.parametrize("name", sorted(queries()))
-def test_no_cross_join_no_python_no_null_aware_join(spark, name):
-    plan = plan_of(queries()[name](spark, FOLDER))
-    for unwanted in (
-        "CartesianProduct",
-        "BroadcastNestedLoopJoin",
-        "PythonUDF",
-        "EvalPython",
-        "isNullAwareAntiJoin=true",
-        "CollectLimit",
-        "GlobalLimit",
-    ):
-        assert unwanted not in plan
-
-
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     """The derived facts as Parquet, as a warehouse would hold them."""
