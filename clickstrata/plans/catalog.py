@@ -210,8 +210,12 @@ def _dashboard() -> dict[str, Callable[[Jobs], DataFrame]]:
 
 def _upkeep() -> dict[str, Callable[[Jobs], DataFrame]]:
     def audited(j: Jobs) -> DataFrame:
-        # The clean table is read by several checks and by the daily tables.
+        # Stored as between batch steps: both are read by several checks, the
+        # clean events also by the daily tables and the errors by the alerts.
         j.events_clean = j.stored_events_clean
+        j.quality_alerts = quality_alerts.quality_alerts(
+            j.events_raw, j.ad_requests, j.campaigns, j.stored_validation_errors
+        )
         return audit.constraint_audit(
             {
                 "publishers": j.publishers,
