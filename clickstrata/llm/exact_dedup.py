@@ -30,13 +30,9 @@ SALTS = 8
 @F.pandas_udf("struct<h: binary, sha: string>")
 def content_hash(texts: pd.Series) -> pd.DataFrame:
     """MD5 and SHA-256 of the normalised text."""
-    bodies = [folded(text) for text in texts]
-    return pd.DataFrame(
-        {
-            "h": [hashlib.md5(body).digest() for body in bodies],
-            "sha": [hashlib.sha256(body).hexdigest() for body in bodies],
-        }
-    )
+    bodies = map(folded, texts)
+    rows = [(hashlib.md5(b).digest(), hashlib.sha256(b).hexdigest()) for b in bodies]
+    return pd.DataFrame(rows, columns=["h", "sha"])
 
 
 @F.pandas_udf("string")

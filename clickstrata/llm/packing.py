@@ -40,13 +40,9 @@ SCHEMA = (
 
 @F.pandas_udf("struct<tokens: long, cluster: binary>")
 def measured(texts: pd.Series) -> pd.DataFrame:
-    bodies = [folded(text) for text in texts]
-    return pd.DataFrame(
-        {
-            "tokens": [len(body.split()) + 1 for body in bodies],
-            "cluster": [hashlib.md5(body).digest() for body in bodies],
-        }
-    )
+    bodies = map(folded, texts)
+    rows = [(len(body.split()) + 1, hashlib.md5(body).digest()) for body in bodies]
+    return pd.DataFrame(rows, columns=["tokens", "cluster"])
 
 
 def best_fit(pieces: list[tuple[int, object, object]], capacity: int) -> list[tuple[int, int]]:

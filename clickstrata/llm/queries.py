@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstrata.llm import exact_dedup, mixing, packing, quality, simhash
+from clickstrata.llm import exact_dedup, hmm, mixing, packing, quality, simhash
 from clickstrata.llm.common import LOWER, UPPER, table
 
 
+def op1_hmm_score(spark: SparkSession, folder: str) -> DataFrame:
+    scored = hmm.score_texts(table(spark, folder, "documents"))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(table(spark, folder, "documents"))
     return packed.withColumnRenamed("id", "doc_id")
@@ -43,6 +48,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hmm_score": op1_hmm_score,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op7_simhash_near_dup": op7_simhash_near_dup,
     "op8_exact_dedup": op8_exact_dedup,
