@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from types import ModuleType
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,3 +88,31 @@ def batches(rows: Iterator, limit: int, size) -> Iterator[list]:
         total += n
     if held:
         yield held
+
+
+def worker_store() -> dict:
+    """What a Python worker keeps between tasks, such as tokenizers and caches."""
+    kept = sys.modules.setdefault("clickstrata_worker", ModuleType("clickstrata_worker"))
+    return vars(kept)
+
+
+def file_uri(spark: SparkSession, path: str) -> str:
+    """The path with its file system, in the form that pyarrow reads."""
+    conf = spark._jsc.hadoopConfiguration()
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = hadoop.getFileSystem(conf).makeQualified(hadoop).toString()
+    return re.sub(r"^file:/+", "file:///", full)
+
+
+def write_bytes(uri: str, parts: Iterable[bytes]) -> None:
+    system, path = fs.FileSystem.from_uri(uri)
+    system.create_dir(path.rpartition("/")[0], recursive=True)
+    with system.open_output_stream(path, compression=None) as out:
+        for part in parts:
+            out.write(part)
+
+
+def read_bytes(uri: str) -> bytes:
+    system, path = fs.FileSystem.from_uri(uri)
+    with system.open_input_stream(path, compression=None) as source:
+        return source.read()

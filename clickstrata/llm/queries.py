@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstrata.llm import exact_dedup, hmm, mixing, packing, quality, simhash
+from clickstrata.llm import (
+    exact_dedup,
+    hmm,
+    knn,
+    mixing,
+    packing,
+    quality,
+    simhash,
+    unigram,
+    warc,
+    wavelet,
+)
 from clickstrata.llm.common import LOWER, UPPER, table
 
 
@@ -16,11 +28,37 @@ def op1_hmm_score(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumnRenamed("id", "doc_id")
 
 
+def op2_wavelet_ids(
+    spark: SparkSession, folder: str, tokenizer: str | None = None
+) -> DataFrame:
+    tokenizer = tokenizer or public_tokenizers.path("word_bpe_49k.json")
+    stored = wavelet.write_and_read(table(spark, folder, "documents"), tokenizer)
+    return stored.withColumnRenamed("id", "doc_id")
+
+
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(table(spark, folder, "documents"))
     return packed.withColumnRenamed("id", "doc_id")
 
 
+def op4_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    audited = warc.write_and_audit(pages)
+    return audited.select("page_id", "payload_sha256", "payload_bytes", "intact")
+
+
+def op5_one_bit_knn(spark: SparkSession, folder: str) -> DataFrame:
+    return knn.nearest(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
+def op6_unigram_counts(
+    spark: SparkSession, folder: str, model: str | None = None
+) -> DataFrame:
+    model = model or public_tokenizers.path("piece_bpe_32k.model")
+    counted = unigram.count_pieces(table(spark, folder, "documents"), model)
+    return counted.withColumnRenamed("id", "doc_id")
+
+
 def op7_simhash_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     linked = simhash.simhash_components(table(spark, folder, "documents"))
     return linked.select(
@@ -49,7 +87,11 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hmm_score": op1_hmm_score,
+    "op2_wavelet_ids": op2_wavelet_ids,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_warc_fixity": op4_warc_fixity,
+    "op5_one_bit_knn": op5_one_bit_knn,
+    "op6_unigram_counts": op6_unigram_counts,
     "op7_simhash_near_dup": op7_simhash_near_dup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_classifier": op9_quality_classifier,
@@ -57,6 +99,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_warc_fixity": """
+        SELECT page_id,
+               sha256(coalesce(html, '')) AS payload_sha256,
+               octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+               page_id % 50 <> 7 AS intact
+        FROM pages
+    """,
     "op8_exact_dedup": f"""
         WITH texts AS (
             SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS body
