@@ -1,7 +1,8 @@
 """Nearest neighbours by randomly rotated one-bit codes.
 
 Vectors are assigned to the nearest of k-means centroids, fitted on a bounded
-sample of ``SAMPLE`` vectors; every vector is indexed.  The unit residual from the
+sample of ``SAMPLE`` vectors; every vector is indexed.  A query looks into as many
+clusters as hold ``RECALL`` of the neighbours inside the sample.  The unit residual from the
 centroid is rotated at random and kept as one sign bit per dimension with two
 correction scalars, its length and its inner product with the code.  A query's
 inner product with the code, divided by that scalar, estimates the one with the
@@ -33,9 +34,10 @@ from clickstrata.llm.common import Scratch
 
 SAMPLE = 16_384
 MOST_CLUSTERS = 1024
-PROBED = 0.3  # share of the clusters that a query looks into
+RECALL = 0.98  # share of neighbours that the probed clusters hold
+TRIED = 256  # vectors of the sample on which the number of probes is measured
 BLOCK = 4096  # vectors or queries of a cluster in one group
-EPSILON = 2.5  # error bound in standard deviations
+EPSILON = 3.0  # error bound in standard deviations
 AT_ONCE = 128  # queries estimated at once
 
 CODE = "cluster int, code binary, length double, ip double"
@@ -70,6 +72,24 @@ def _nearest(points: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
     return np.argsort(squared, axis=1, kind="stable")[:, :n]
 
 
+def probes_for(sample: np.ndarray, centres: np.ndarray, k: int, recall: float) -> int:
+    """Fewest nearest clusters that hold this share of the neighbours in the sample.
+
+    Neighbours among all vectors are closer than those in a sample, so the share
+    is higher there.
+    """
+    home = _nearest(sample, centres, 1)[:, 0]
+    ranks = []
+    for query in sample[:TRIED]:
+        near = np.argsort(np.square(sample - query).sum(axis=1))[1 : k + 1]
+        order = _nearest(query[None], centres, len(centres))[0]
+        ranks.append(np.argsort(order)[home[near]])
+    found = np.sort(np.concatenate(ranks))
+    if not len(found):
+        return len(centres)
+    return int(found[math.ceil(recall * len(found)) - 1]) + 1
+
+
 def rotation(d: int, seed: int = 0) -> np.ndarray:
     q, r = np.linalg.qr(np.random.default_rng(seed).normal(size=(d, d)))
     return q * np.sign(np.diag(r))
@@ -124,7 +144,9 @@ def _search(shared, k: int):
                 own = part_ids[:, None] == ids
                 upper = np.where(own, np.inf, estimate + error)
                 lower = np.where(own, np.inf, estimate - error)
-                limit = np.partition(upper, k - 1, axis=1)[:, k - 1] if len(ids) > k else np.full(len(part), np.inf)
+                limit = np.full(len(part), np.inf)
+                if len(ids) > k:
+                    limit = np.partition(upper, k - 1, axis=1)[:, k - 1]
                 for i, query in enumerate(part):
                     near = np.flatnonzero((lower[i] <= limit[i]) & ~own[i])
                     exact = np.sqrt(np.square(points[near] - query).sum(axis=1))
@@ -151,7 +173,7 @@ def nearest(
     k: int = 10,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
-    probed: float = PROBED,
+    recall: float = RECALL,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of the rows for which ``is_query`` holds."""
     spark = vectors.sparkSession
@@ -165,10 +187,9 @@ def nearest(
     drawn = rows.orderBy(F.xxhash64("id", F.lit(5)), "v").limit(SAMPLE).collect()
     sample = np.array([row.v for row in drawn])
     clusters = max(1, min(MOST_CLUSTERS, len(sample) // 16, round(math.sqrt(n) / 2)))
-    shared = spark.sparkContext.broadcast(
-        (k_means(sample, clusters), rotation(sample.shape[1]))
-    )
-    probes = min(clusters, max(8, math.ceil(probed * clusters)))
+    fitted = k_means(sample, clusters)
+    shared = spark.sparkContext.broadcast((fitted, rotation(sample.shape[1])))
+    probes = probes_for(sample, fitted, k, recall)
 
     @F.pandas_udf(f"struct<{CODE.replace(' ', ': ').replace(',:', ',')}>")
     def coded(v: pd.Series) -> pd.DataFrame:
