@@ -21,10 +21,13 @@ first; equal ids are ordered by text; an empty table gives no files and no rows.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -35,16 +38,22 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from clickstrata.llm.common import Scratch, file_uri, worker_store, write_bytes
+from clickstrata.llm.common import (
+    Scratch,
+    file_uri,
+    folded,
+    worker_store,
+    write_bytes,
+)
 
 END_ID = 1
 SHARD_TOKENS = 4_000_000
 MAGIC = b"WVM1"
 RANK = 512  # bits between two stored ranks
-KEPT = 300_000  # words whose ids a worker keeps
-ASKED = 4096  # words that are tokenized at once
-# Signs that end a run of letters for the tokenizer.
-TAIL = ".,;:!?|*$%&#"
+KEPT = 500_000  # parts of words whose ids a worker keeps
+ASKED = 4096  # parts that are tokenized at once
+# Signs at the end of a word; the tokenizer parts them from a letter before them.
+ENDING = re.compile(rb"(?<=[a-z])([.,;:!?|*$%&#]+)(?![^\x20\x09-\x0D])")
 
 
 # --- the file ------------------------------------------------------------------
@@ -203,45 +212,67 @@ class WaveletFile:
 # --- tokenizing ------------------------------------------------------------------
 
 
+def byte_letters() -> list[str]:
+    """The letter that byte-level tokenizers use for each byte: itself where it
+    prints, else the next one from 256 on."""
+    printing = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return [chr(b if b in printing else next(others)) for b in range(256)]
+
+
 class Encoder:
     """Ids of texts by the tokenizer.
 
-    It parts words at white space, and letters from the signs that follow them, so
-    the ids of a text are those of its words; a worker keeps those it has seen.
+    It parts words at white space, and an ASCII letter from the signs that end its
+    word, so the ids of a text are those of its parts; a worker keeps the parts it
+    has seen.  A part of lower-case letters alone is one piece to the tokenizer's
+    model; any other part, and a text that may hold a special token, goes through
+    the whole tokenizer.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.whole: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.seen: dict[bytes, bytes] = {}
+        self.letters = byte_letters()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
     def _learn(self, new: list[bytes]) -> None:
-        split = {}
+        others, tokenize = [], self.model.tokenize
         for raw in new:
-            word = raw.decode()
-            core = word.rstrip(TAIL)
-            plain = core and core[-1].lower()[-1].isalpha() and "<|" not in word
-            split[raw] = (core, word[len(core) :]) if plain else (word, "")
-        parts = {p for pair in split.values() for p in pair if p and p not in self.parts}
-        for part, ids in zip(parts, self._encode(list(parts)), strict=True):
-            self.parts[part] = ids
-        for word, pair in split.items():
-            self.whole[word] = b"".join(self.parts[p] for p in pair if p)
+            part = raw.decode()
+            if not (raw.isalpha() and raw.islower()):  # of ASCII letters
+                plain = part.isalpha() and part == part.lower()
+                if not (plain and is_normalized("NFC", part)):
+                    others.append(raw)
+                    continue
+                part = "".join([self.letters[b] for b in raw])
+            ids = [token.id for token in tokenize(part)]
+            self.seen[raw] = array("I", ids).tobytes()
+        for at in range(0, len(others), ASKED):
+            asked = others[at : at + ASKED]
+            encoded = self._encode([raw.decode() for raw in asked])
+            self.seen.update(zip(asked, encoded, strict=True))
 
     def __call__(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        if len(self.whole) > KEPT or len(self.parts) > KEPT:
-            self.whole.clear()
-            self.parts.clear()
-        split = [(text or "").encode().split() for text in texts]
-        new = list({w for found in split for w in found if w not in self.whole})
-        for at in range(0, len(new), ASKED):
-            self._learn(new[at : at + ASKED])
-        for found in split:
-            ids = b"".join([self.whole[word] for word in found])
+        if len(self.seen) > KEPT:
+            self.seen.clear()
+        parts: list[list[bytes] | str] = []
+        for text in texts:
+            if text and "<|" in text:
+                parts.append(text)
+            else:
+                parts.append(ENDING.sub(rb" \1", folded(text)).split())
+        new = set().union(*(found for found in parts if type(found) is list))
+        self._learn([part for part in new if part not in self.seen])
+        for found in parts:
+            if type(found) is list:
+                ids = b"".join([self.seen[part] for part in found])
+            else:
+                ids = self._encode([found])[0]
             yield np.append(np.frombuffer(ids, dtype="<u4"), np.uint32(END_ID))
 
 
