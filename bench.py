@@ -5,12 +5,12 @@ from __future__ import annotations
 import json
 import os
 import time
+import uuid
 
 from clickstrata.plans.catalog import registered
 from clickstrata.plans.jobs import Jobs
 from clickstrata.plans.pipeline import Inputs, Pipeline
 from clickstrata.session import build_session
-from clickstrata.sources.staging import staging_path
 from clickstrata.sources.tables import Warehouse
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -70,7 +70,8 @@ def main() -> None:
     inputs = Inputs(
         tables.events_raw, tables.ad_requests, tables.campaigns, tables.experiments
     )
-    warehouse = Warehouse(spark, staging_path(spark, "bench-warehouse"))
+    root = spark.conf.get("spark.sql.warehouse.dir")
+    warehouse = Warehouse(spark, f"{root}/bench-{uuid.uuid4().hex}")
     start = time.perf_counter()
     Pipeline(warehouse, inputs, tables.scope).run()
     timings["full_pipeline_refresh"] = round(time.perf_counter() - start, 3)

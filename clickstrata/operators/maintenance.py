@@ -73,11 +73,19 @@ def survivor_counts(tables: FactTables, scope: Scope) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), counts)
 
 
+# What the pipeline stores of the events and requests, children before parents;
+# the clean events are the clean half of the validated ones.
+STORED = ("event_validation_errors", "events_validated", "events_raw", "ad_requests")
+
+
 def purge_warehouse(warehouse: Warehouse, scope: Scope) -> None:
     """Delete the scope from the stored tables, referencing tables first."""
-    raw = warehouse.spark.read.parquet(warehouse.path("events_raw"))
+    missing = [name for name in STORED if not warehouse.exists(name)]
+    if missing:
+        raise FileNotFoundError(f"nothing was deleted; not stored: {missing}")
+    raw = warehouse.scan("events_raw")
     doomed_events = raw.filter(scope.events()).select("raw_event_id")
     warehouse.delete_joined("event_validation_errors", doomed_events, "raw_event_id")
-    warehouse.delete_where("events_clean", scope.events())
+    warehouse.delete_where("events_validated", scope.events())
     warehouse.delete_where("events_raw", scope.events())
     warehouse.delete_where("ad_requests", scope.requests())

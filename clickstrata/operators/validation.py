@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from clickstrata.functions.rules import Rule, any_hit, emit, hits
 from clickstrata.functions.text import message
-from clickstrata.sources.staging import stage
 
 ERROR_KEYS = ("raw_event_id", "event_id", "tracking_id")
 
@@ -135,19 +134,18 @@ def meet_requests(
 
 
 def duplicate_event_ids(raw: DataFrame) -> DataFrame:
-    """Event ids that occur more than once, written out so their size is known.
+    """Event ids that occur more than once.
 
-    Only ``event_id`` is shuffled and repeats collapse before the shuffle.
-    Being on disk, a small set is broadcast to the wide raw scan and a large
-    one sort-merge joined, whichever its measured size allows.
+    Only ``event_id`` is shuffled and repeats collapse before the shuffle.  Its
+    measured size then lets adaptive execution broadcast a small set to the wide
+    raw scan and sort-merge join a large one.
     """
-    repeated = (
+    return (
         raw.groupBy("event_id")
         .agg(F.count(F.lit(1)).alias("copies"))
         .filter(F.col("copies") > 1)
         .select("event_id")
     )
-    return stage(repeated, "duplicate-event-ids")
 
 
 def checked_events(

@@ -23,8 +23,8 @@ from clickstrata.operators import (
 from clickstrata.plans.jobs import Jobs
 from clickstrata.session import tune
 
-# The scope the purge query removes: the events injected with broken ids.
-PURGE_SCOPE = maintenance.Scope(event_prefix="py_dup_", tracking_prefix="trk_unknown_")
+# The scope the purge query removes: repeated events, and a range of requests.
+PURGE_SCOPE = maintenance.Scope(event_prefix="py_dup_", tracking_prefix="trk_py_1")
 
 
 def _funnel_and_reporting() -> dict[str, Callable[[Jobs], DataFrame]]:
@@ -146,7 +146,7 @@ def _experiments() -> dict[str, Callable[[Jobs], DataFrame]]:
         ),
         "experiment_kpi": lambda j: e.experiment_kpi(*inputs(j)),
         "experiment_results": lambda j: j.experiment_results,
-        "experiment_uplift": lambda j: e.experiment_uplift(j.stored_experiment_results),
+        "experiment_uplift": lambda j: e.experiment_uplift(j.experiment_results),
         "experiment_daily_trend": lambda j: e.experiment_daily_trend(*inputs(j)),
     }
 
@@ -170,7 +170,7 @@ def _monitoring() -> dict[str, Callable[[Jobs], DataFrame]]:
             j.daily_campaign, j.campaigns
         ),
         "mon_experiment_tradeoff": lambda j: monitoring.experiment_tradeoff(
-            j.stored_experiment_results
+            j.experiment_results
         ),
         "monitoring_alerts": refreshed,
     }
@@ -195,7 +195,7 @@ def _dashboard() -> dict[str, Callable[[Jobs], DataFrame]]:
         ),
         "experiment_view": lambda j: d.experiment_view(j.experiment_results),
         "experiment_uplift_view": lambda j: d.experiment_uplift_view(
-            j.stored_experiment_results
+            j.experiment_results
         ),
         "alerts_view": lambda j: alerting.alerts_listing(j.alerts),
         "alert_summary": lambda j: alerting.alert_summary(j.alerts),
@@ -210,11 +210,8 @@ def _dashboard() -> dict[str, Callable[[Jobs], DataFrame]]:
 
 def _upkeep() -> dict[str, Callable[[Jobs], DataFrame]]:
     def audited(j: Jobs) -> DataFrame:
-        # Stored as between batch steps: both are read by several checks, the
-        # clean events also by the daily tables and the errors by the alerts.
-        j.events_clean = j.stored_events_clean
         j.quality_alerts = quality_alerts.quality_alerts(
-            j.events_raw, j.ad_requests, j.campaigns, j.stored_validation_errors
+            j.events_raw, j.ad_requests, j.campaigns, j.validation_errors
         )
         return audit.constraint_audit(
             {
@@ -227,11 +224,11 @@ def _upkeep() -> dict[str, Callable[[Jobs], DataFrame]]:
                 "ad_requests": j.ad_requests,
                 "events_raw": j.events_raw,
                 "events_clean": j.events_clean,
-                "daily_campaign_metrics": j.stored_daily_campaign,
-                "daily_app_metrics": j.stored_daily_app,
+                "daily_campaign_metrics": j.daily_campaign,
+                "daily_app_metrics": j.daily_app,
                 "alerts": j.alerts,
-                "experiment_results": j.stored_experiment_results,
-                "event_validation_errors": j.stored_validation_errors,
+                "experiment_results": j.experiment_results,
+                "event_validation_errors": j.validation_errors,
             }
         )
 

@@ -1,7 +1,7 @@
 """The hand-offs between the jobs, from raw events to alerts.
 
-Everything is lazy and read once per query.  Results that a single query reads
-along several branches are staged, as the tables between batch steps would be.
+Everything is lazy: building a query writes nothing.  Equal branches of one query
+share their exchanges; the batch pipeline stores the tables between its steps.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from clickstrata.operators import (
     validation,
 )
 from clickstrata.sources.driver_mapping import DriverTables
-from clickstrata.sources.staging import stage
 
 # Fixed value: the id prefix the reporting jobs are scoped to.
 REPORTING_SCOPE = "trk_py_"
@@ -66,26 +65,6 @@ class Jobs(DriverTables):
             self.scope,
         )
 
-    @cached_property
-    def stored_events_clean(self) -> DataFrame:
-        return stage(self.events_clean, "events-clean")
-
-    @cached_property
-    def stored_validation_errors(self) -> DataFrame:
-        return stage(self.validation_errors, "event-validation-errors")
-
-    @cached_property
-    def stored_daily_campaign(self) -> DataFrame:
-        return stage(self.daily_campaign, "daily-campaign-metrics")
-
-    @cached_property
-    def stored_daily_app(self) -> DataFrame:
-        return stage(self.daily_app, "daily-app-metrics")
-
-    @cached_property
-    def stored_experiment_results(self) -> DataFrame:
-        return stage(self.experiment_results, "experiment-results")
-
     @cached_property
     def quality_alerts(self) -> DataFrame:
         return quality_alerts.quality_alerts(
@@ -95,7 +74,7 @@ class Jobs(DriverTables):
     @cached_property
     def monitoring_alerts(self) -> DataFrame:
         return monitoring.monitoring_alerts(
-            self.stored_daily_campaign, self.campaigns, self.stored_experiment_results
+            self.daily_campaign, self.campaigns, self.experiment_results
         )
 
     @cached_property

@@ -512,7 +512,7 @@ def _constraint_audit() -> str:
     return _union(parts)
 
 
-_DOOMED = "(starts_with(event_id, 'py_dup_') OR starts_with(tracking_id, 'trk_unknown_'))"
+_DOOMED = "(starts_with(event_id, 'py_dup_') OR starts_with(tracking_id, 'trk_py_1'))"
 
 _LISTING_SELECT = f"""
     SELECT metric_date, d.campaign_id, campaign_name, impressions, clicks, installs,
@@ -693,7 +693,7 @@ _BODIES: dict[str, str] = {
     SELECT 'events_raw', count(*) FROM events_raw WHERE {_DOOMED} IS NOT TRUE
     UNION ALL
     SELECT 'ad_requests', count(*) FROM ad_requests
-    WHERE NOT starts_with(tracking_id, 'trk_unknown_')""",
+    WHERE NOT starts_with(tracking_id, 'trk_py_1')""",
     "eligible_inventory": """
     SELECT campaign_id, target_country, target_platform, target_category, bid_cpi,
            (SELECT count(*) FROM apps a WHERE a.category = c.target_category

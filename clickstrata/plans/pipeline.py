@@ -1,8 +1,7 @@
 """The batch run: raw events and requests in, every reporting table out.
 
 Order: validation, daily metrics, experiments, alerts.  Each step reads what
-the step before stored, so an interrupted run continues from stored tables and
-no step recomputes another's work.
+the step before stored, so no step recomputes another's work.
 """
 
 from __future__ import annotations
@@ -66,22 +65,23 @@ class Pipeline:
         classified = validation.classify_events(
             self.inputs.events_raw, self.inputs.ad_requests
         )
-        self._validated_writer(
-            classified.withColumn("is_clean", F.col("errors").isNull())
-        ).parquet(self.warehouse.path(VALIDATED))
+        self.warehouse.full_refresh(
+            VALIDATED,
+            classified.withColumns(
+                {
+                    "is_clean": F.col("errors").isNull(),
+                    "event_date": F.to_date("event_time"),
+                }
+            ),
+        )
         self.warehouse.full_refresh(
             "event_validation_errors", logged(validation.errors_of(self._half(False)))
         )
 
-    @staticmethod
-    def _validated_writer(df: DataFrame):
-        # Two folders per task at most, so no shuffle to gather small files.
-        return df.write.mode("overwrite").partitionBy("is_clean")
-
     @property
     def validated(self) -> DataFrame:
         """Every raw event with its errors and ``is_clean``."""
-        return self.warehouse.spark.read.parquet(self.warehouse.path(VALIDATED))
+        return self.warehouse.scan(VALIDATED)
 
     def _half(self, clean: bool) -> DataFrame:
         return self.validated.filter(F.col("is_clean") == F.lit(clean))
@@ -103,28 +103,26 @@ class Pipeline:
         )
 
     def refresh_days(self, days: Sequence[date]) -> None:
-        """Recompute only some days and replace only their partitions.
+        """Recompute only some days and replace exactly their partitions.
 
-        The bounds on ``event_time`` reach the Parquet scan, which skips row
-        groups outside them; the date list then picks the exact days.
+        Validated events lie by day, so only those days are read.
         """
         if not days:
             return
-        start = F.lit(min(days)).cast("timestamp_ntz")
-        end = F.date_add(F.lit(max(days)), 1).cast("timestamp_ntz")
-        clean = self.events_clean.filter(
-            (F.col("event_time") >= start)
-            & (F.col("event_time") < end)
-            & F.to_date("event_time").isin(*days)
-        )
-        self.warehouse.refresh_partitions(
+        clean = self.clean_of_days(days)
+        self.warehouse.refresh_days(
             "daily_campaign_metrics",
             reporting.daily_campaign_metrics(clean, self.inputs.campaigns, self.scope),
+            days,
         )
-        self.warehouse.refresh_partitions(
-            "daily_app_metrics", reporting.daily_app_metrics(clean, self.scope)
+        self.warehouse.refresh_days(
+            "daily_app_metrics", reporting.daily_app_metrics(clean, self.scope), days
         )
 
+    def clean_of_days(self, days: Sequence[date]) -> DataFrame:
+        dated = self._half(True).filter(F.col("event_date").isin(*days))
+        return validation.clean_of(dated)
+
     # --- experiments --------------------------------------------------------
 
     def compare_experiments(self) -> None:

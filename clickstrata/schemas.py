@@ -235,6 +235,7 @@ _DECLARED = (
             _decimal("reward_cost", PRICE, default="0.00"),
             _text("country", 2),
             _enum("platform", PLATFORMS),
+            _CREATED,
         ),
         primary_key=("event_id",),
         foreign_keys=(

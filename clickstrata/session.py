@@ -31,10 +31,10 @@ def shuffle_partitions_for(
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the recommended settings to a session made elsewhere."""
-    started_with = spark.sparkContext.getConf()
+    """Apply the recommended settings that a session made elsewhere leaves open."""
+    chosen = spark._jsparkSession.sessionState().conf()
     for key, value in RECOMMENDED.items():
-        if not started_with.contains(key):
+        if not chosen.contains(key):
             spark.conf.set(key, value)
     return spark
 

@@ -2,8 +2,10 @@
 
 Raw events are appended as they come, without any check: the batch validation
 needs the whole table, because a later copy of an event id also rejects the
-earlier one.  The stream therefore only takes over the inserts, exactly once
-per file by way of its checkpoint, and the batch pipeline runs when it pauses.
+earlier one.  The stream therefore only takes over the inserts, and the batch
+pipeline runs when it pauses.  Each micro-batch is landed under its number, so a
+batch repeated after a failure adds nothing, and the table stays an ordinary one
+that appends and deletes may change between runs.
 """
 
 from __future__ import annotations
@@ -24,18 +26,21 @@ def arriving_events(
 
 
 def land_events(
-    events: DataFrame, warehouse: Warehouse, checkpoint: str
+    events: DataFrame, warehouse: Warehouse, checkpoint: str, feed: str = "events"
 ) -> StreamingQuery:
     """Append everything that has arrived so far, then stop.
 
     ``availableNow`` keeps the progress between runs, so calling this on a
     schedule lands each file once, and splits a backlog into several batches.
+    ``feed`` tells streams with checkpoints of their own apart.
     """
+
+    def land(batch: DataFrame, number: int) -> None:
+        warehouse.land("events_raw", batch, f"{feed}-{number}")
+
     return (
-        events.writeStream.format("parquet")
-        .option("path", warehouse.path("events_raw"))
+        events.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

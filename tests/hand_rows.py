@@ -124,54 +124,65 @@ class Hand:
         return self.frame("experiments", self.experiment_rows)
 
 
-def six_funnels(spark: SparkSession) -> Hand:
-    """Six requests and eighteen events with complete and broken-off funnels."""
+def seven_requests(spark: SparkSession) -> Hand:
+    """Seven requests on four campaigns: repeated steps, no events, broken funnels."""
     hand = Hand(spark)
-    for campaign_id, bid, country, platform in (
-        (1, "2.40", "DE", "android"),
-        (2, "3.10", "DE", "ios"),
-        (3, "2.80", "SE", "android"),
-        (7, "2.70", "GB", "android"),
-        (9, "2.20", "AT", "android"),
-        (12, "5.20", "US", "ios"),
-    ):
-        hand.campaign(campaign_id, bid, country, platform)
+    hand.campaign(4, "1.75", "AT", "ios")
+    hand.campaign(5, "0.90", "US", "android")
+    hand.campaign(8, "3.35", "SE", "ios")
+    hand.campaign(11, "6.10", "GB", "ios")
     hand.experiment(1, "A")
     hand.experiment(2, "B")
-
-    def serve(number, campaign_id, country, platform, *steps):
+    steps = {
+        1: (5, [("impression",), ("click",), ("install",), ("reward", "0.25"), ("reward", "0.15")]),
+        2: (11, [("impression",), ("impression",), ("click",)]),
+        3: (
+            5,
+            [
+                ("impression",),
+                ("click",),
+                ("install",),
+                ("conversion", "7.50"),
+                ("conversion", "2.25"),
+            ],
+        ),
+        4: (4, [("impression",), ("impression",), ("impression",)]),
+        5: (8, []),
+        6: (8, [("impression",), ("click",), ("install",)]),
+        7: (11, [("impression",), ("click",), ("click",)]),
+    }
+    targets = {row["campaign_id"]: row for row in hand.campaign_rows}
+    for number, (campaign_id, events) in steps.items():
         request = hand.request(
             f"trk_hand_{number:03}",
             campaign_id,
-            app_id=campaign_id,
-            user_id=number,
-            country=country,
-            platform=platform,
+            app_id=20 + campaign_id,
+            user_id=100 + number,
+            country=targets[campaign_id]["target_country"],
+            platform=targets[campaign_id]["target_platform"],
             experiment_id=1 + number % 2,
         )
-        for step in steps:
-            event_type, *amount = step.split()
+        for event_type, *amount in events:
             paid = {"conversion": "revenue", "reward": "reward_cost"}.get(event_type)
             hand.event(request, event_type, **({paid: amount[0]} if paid else {}))
-
-    serve(1, 1, "DE", "android", "impression", "click", "install", "conversion 5.00", "reward 0.50")
-    serve(2, 2, "DE", "ios", "impression", "click")
-    serve(3, 3, "SE", "android", "impression")
-    serve(4, 12, "US", "ios", "impression", "click", "install", "conversion 12.00")
-    serve(5, 9, "AT", "android", "impression", "click", "install", "reward 0.40")
-    serve(6, 7, "GB", "android", "impression", "click")
     return hand
 
 
-def with_anomalies(hand: Hand) -> Hand:
-    """One more request and seven events that each show one problem."""
-    first, second = hand.requests[0], hand.requests[1]
-    hand.event(first, "click", tracking_id=None)
-    hand.event(first, "install", tracking_id="trk_nowhere")
-    hand.event(first, "install", event_id="twice")
-    hand.event(first, "install", event_id="twice")
-    hand.event(first, "click", country="FR")
-    hand.event(second, "click", platform="android")
-    lonely = hand.request("trk_lonely_click", 1, app_id=1, user_id=2)
+def with_faults(hand: Hand) -> Hand:
+    """One more request and nine events: eight faulty ones and a lonely click."""
+    by_id = {row["tracking_id"]: row for row in hand.requests}
+    first, third, fourth, sixth, seventh = (
+        by_id[f"trk_hand_00{n}"] for n in (1, 3, 4, 6, 7)
+    )
+    hand.event(fourth, "impression", tracking_id=None)
+    hand.event(sixth, "install", tracking_id="trk_astray")
+    for _ in range(3):
+        hand.event(third, "install", event_id="thrice")
+    hand.event(first, "impression", user_id=99)
+    hand.event(seventh, "click", country="NO")
+    hand.event(sixth, "click", app_id=77)
+    lonely = hand.request(
+        "trk_only_click", 4, app_id=24, user_id=108, country="AT", platform="ios"
+    )
     hand.event(lonely, "click")
     return hand

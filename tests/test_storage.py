@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import os
+import re
 from collections import Counter
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
-from hand_rows import six_funnels, with_anomalies
+from hand_rows import plan_of, seven_requests, with_faults
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from clickstrata.operators import alerting, audit, maintenance, reporting
@@ -17,10 +20,10 @@ from clickstrata.plans.pipeline import (
     Inputs,
     Pipeline,
 )
-from clickstrata.plans.catalog import catalog
+from clickstrata.plans.catalog import catalog, registered
 from clickstrata.plans.jobs import Jobs
 from clickstrata.plans.views import dashboard_views, health_views, report_views
-from clickstrata.sources.staging import stage, staging_root
+from clickstrata.session import tune
 from clickstrata.sources.tables import Warehouse
 
 
@@ -31,23 +34,24 @@ def pipeline_over(spark, root, hand):
 
 @pytest.fixture
 def mixed(spark):
-    return with_anomalies(six_funnels(spark))
+    return with_faults(seven_requests(spark))
 
 
 def test_pipeline_stores_every_table(spark, tmp_path, mixed):
     pipeline = pipeline_over(spark, tmp_path, mixed)
     pipeline.run()
     warehouse = pipeline.warehouse
-    assert pipeline.events_clean.count() == 19
+    assert pipeline.events_clean.count() == 23
     errors = warehouse.read("event_validation_errors")
-    assert errors.count() == 6
+    assert errors.count() == 8
     assert errors.filter(F.col("detected_at").isNull()).isEmpty()
     daily = warehouse.read("daily_campaign_metrics")
-    assert daily.agg(F.sum("impressions")).first()[0] == 6
-    assert (tmp_path / "daily_campaign_metrics" / "metric_date=2026-06-01").is_dir()
+    assert daily.agg(F.sum("impressions")).first()[0] == 9
+    stored = Path(warehouse.path("daily_campaign_metrics"))
+    assert (stored / "metric_date=2026-06-01").is_dir()
     assert warehouse.read("experiment_results").count() == 2
     groups = Counter(r["rule_group"] for r in pipeline.alerts.collect())
-    assert groups["data_quality"] == 10
+    assert groups["data_quality"] == 9
 
 
 def test_stored_views_equal_the_registered_queries(spark, tmp_path):
@@ -78,7 +82,7 @@ def test_pipeline_can_run_again(spark, tmp_path, mixed):
     before = pipeline.alerts.count()
     pipeline.run()
     assert pipeline.alerts.count() == before
-    assert pipeline.events_clean.count() == 19
+    assert pipeline.events_clean.count() == 23
 
 
 def test_monitoring_refresh_leaves_quality_alerts_and_drops_stale_ones(
@@ -87,28 +91,31 @@ def test_monitoring_refresh_leaves_quality_alerts_and_drops_stale_ones(
     pipeline = pipeline_over(spark, tmp_path, mixed)
     pipeline.run()
     warehouse = pipeline.warehouse
+    before = Counter(r["rule_group"] for r in pipeline.alerts.collect())
+    assert before["data_quality"] == 9
     stale = warehouse.read(QUALITY_ALERTS, declared_as="alerts").limit(1)
     stale = stale.withColumn("rule_group", F.lit(alerting.GENERATED_MONITORING))
     warehouse.append(MONITORING_ALERTS, stale)
-    assert pipeline.alerts.count() == 11
+    assert pipeline.alerts.count() == sum(before.values()) + 1
     pipeline.monitor()
     groups = Counter(r["rule_group"] for r in pipeline.alerts.collect())
-    assert groups == {"data_quality": 10}
+    assert groups == before
 
 
 def test_refresh_of_some_days_leaves_the_others(spark, tmp_path):
-    hand = six_funnels(spark)
-    late = hand.request("trk_next_day", 1, at=datetime(2026, 6, 2, 9))
+    hand = seven_requests(spark)
+    late = hand.request("trk_next_day", 4, at=datetime(2026, 6, 2, 9))
     hand.event(late, "impression")
     pipeline = pipeline_over(spark, tmp_path, hand)
     pipeline.validate()
     pipeline.refresh_daily_metrics()
-    first_day = tmp_path / "daily_campaign_metrics" / "metric_date=2026-06-01"
+    stored = Path(pipeline.warehouse.path("daily_campaign_metrics"))
+    first_day = stored / "metric_date=2026-06-01"
     before = sorted(os.listdir(first_day))
     pipeline.refresh_days([date(2026, 6, 2)])
     assert sorted(os.listdir(first_day)) == before
     daily = pipeline.warehouse.read("daily_campaign_metrics")
-    assert daily.agg(F.sum("impressions")).first()[0] == 7
+    assert daily.agg(F.sum("impressions")).first()[0] == 10
 
 
 def test_delete_keeps_rows_whose_predicate_is_null(spark, tmp_path, mixed):
@@ -117,80 +124,121 @@ def test_delete_keeps_rows_whose_predicate_is_null(spark, tmp_path, mixed):
     left = warehouse.delete_where("events_raw", F.col("tracking_id").startswith("trk_hand_"))
     assert {r["tracking_id"] for r in left.collect()} == {
         None,
-        "trk_nowhere",
-        "trk_lonely_click",
+        "trk_astray",
+        "trk_only_click",
     }
 
 
-def test_purge_removes_a_scope_children_first(spark, tmp_path, mixed):
+def test_purge_after_a_run_leaves_nothing_of_the_scope(spark, tmp_path, mixed):
     pipeline = pipeline_over(spark, tmp_path, mixed)
-    pipeline.validate()
+    pipeline.run()
     warehouse = pipeline.warehouse
+    scope = maintenance.Scope(event_prefix="thrice", tracking_prefix="trk_hand_001")
+    with pytest.raises(FileNotFoundError):
+        maintenance.purge_warehouse(warehouse, scope)
+    assert warehouse.read("event_validation_errors").count() == 8
     warehouse.full_refresh("events_raw", mixed.raw)
     warehouse.full_refresh("ad_requests", mixed.ad_requests)
-    warehouse.full_refresh("events_clean", pipeline.events_clean)
-    scope = maintenance.Scope(event_prefix="twice", tracking_prefix="trk_hand_001")
+    expected = {"event_validation_errors": 4, "events_clean": 18, "events_raw": 22}
+    expected["ad_requests"] = 7
     tables = maintenance.FactTables(
-        *[
-            spark.read.parquet(warehouse.path(name))
-            for name in (
-                "event_validation_errors",
-                "events_clean",
-                "events_raw",
-                "ad_requests",
-            )
-        ]
+        event_validation_errors=warehouse.scan("event_validation_errors"),
+        events_clean=pipeline.events_clean,
+        events_raw=warehouse.scan("events_raw"),
+        ad_requests=warehouse.scan("ad_requests"),
     )
-    expected = {
-        r["table_name"]: r["survivors"]
-        for r in maintenance.survivor_counts(tables, scope).collect()
-    }
-    assert expected == {
-        "event_validation_errors": 3,
-        "events_clean": 14,
-        "events_raw": 17,
-        "ad_requests": 6,
-    }
+    counts = maintenance.survivor_counts(tables, scope).collect()
+    assert {r["table_name"]: r["survivors"] for r in counts} == expected
     maintenance.purge_warehouse(warehouse, scope)
+    assert pipeline.events_clean.count() == expected.pop("events_clean")
     for name, survivors in expected.items():
-        assert spark.read.parquet(warehouse.path(name)).count() == survivors
+        assert warehouse.scan(name).count() == survivors
+    assert warehouse.scan("events_validated").filter(scope.events()).isEmpty()
+    assert warehouse.scan("events_raw").filter(scope.events()).isEmpty()
 
 
-def test_refresh_alerts_replaces_only_the_named_groups(spark):
-    columns = "rule_group string, alert_message string"
-    stored = spark.createDataFrame(
-        [("data_quality", "kept"), ("generated_monitoring", "old")], columns
-    )
-    fresh = spark.createDataFrame([("generated_monitoring", "new")], columns)
-    rows = alerting.refresh_alerts(stored, fresh, alerting.MONITORING_GROUPS).collect()
-    assert {r["alert_message"] for r in rows} == {"kept", "new"}
+def test_purge_query_takes_rows_from_every_table(spark):
+    folder = "/root/testdata/sf0.01"
+    jobs = Jobs(spark, folder)
+    left = catalog()["scoped_purge"](jobs).collect()
+    for row in left:
+        name = row["table_name"]
+        whole = jobs.validation_errors if "errors" in name else getattr(jobs, name)
+        assert 0 < row["survivors"] < whole.count(), name
+
+
+def test_a_failed_rewrite_leaves_the_old_rows(spark, tmp_path, mixed):
+    warehouse = Warehouse(spark, str(tmp_path))
+    warehouse.full_refresh("events_raw", mixed.raw)
+    broken = F.raise_error("disk lost").cast("boolean")
+    with pytest.raises(Exception, match="disk lost"):
+        warehouse.delete_where("events_raw", broken)
+    assert warehouse.read("events_raw").count() == 31
+    warehouse.delete_where("events_raw", F.col("event_id") == "thrice")
+    assert warehouse.read("events_raw").count() == 28
+
+
+def test_only_the_last_two_versions_stay(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    for n in range(1, 5):
+        warehouse.full_refresh("numbers", spark.range(n))
+    assert warehouse.versions("numbers") == [3, 4]
+    assert warehouse.scan("numbers").count() == 4
+
+
+def test_a_day_without_events_loses_its_metrics(spark, tmp_path):
+    hand = seven_requests(spark)
+    late = hand.request("trk_next_day", 4, at=datetime(2026, 6, 2, 9))
+    hand.event(late, "impression")
+    pipeline = pipeline_over(spark, tmp_path, hand)
+    pipeline.validate()
+    pipeline.refresh_daily_metrics()
+    late_day = F.to_date("event_time") == F.lit(date(2026, 6, 2))
+    pipeline.warehouse.delete_where("events_validated", late_day)
+    pipeline.refresh_days([date(2026, 6, 1), date(2026, 6, 2)])
+    daily = pipeline.warehouse.read("daily_campaign_metrics")
+    assert {str(r["metric_date"]) for r in daily.collect()} == {"2026-06-01"}
+    assert daily.agg(F.sum("impressions")).first()[0] == 9
+    plan = plan_of(pipeline.clean_of_days([date(2026, 6, 2)]))
+    assert re.search(r"PartitionFilters: \[[^\]]*event_date", plan)
 
 
-def test_stage_reads_back_the_same_rows(spark):
-    df = spark.range(100).withColumn("text", F.col("id").cast("string"))
-    staged = stage(df, "some-rows")
-    assert staged.schema.names == df.schema.names
-    assert staged.exceptAll(df).isEmpty() and staged.count() == 100
+def test_a_rerun_without_faults_drops_the_old_errors(spark, tmp_path, mixed):
+    pipeline_over(spark, tmp_path, mixed).validate()
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        pipeline = pipeline_over(spark, tmp_path, seven_requests(spark))
+        pipeline.validate()
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert pipeline.validated.count() == 22
+    assert pipeline.warehouse.read("event_validation_errors").isEmpty()
 
 
-class WithoutSharedFolder:
-    """A session whose cluster names no checkpoint folder."""
+def test_building_a_query_writes_nothing(spark, monkeypatch):
+    def refuse(*_, **__):
+        raise AssertionError("a query was written while it was built")
 
-    def __init__(self, master):
-        self.conf = self
-        self.sparkContext = self
-        self.master = master
-        self.applicationId = "app-1"
+    monkeypatch.setattr(DataFrameWriter, "save", refuse)
+    monkeypatch.setattr(DataFrameWriter, "parquet", refuse)
+    for job in registered().values():
+        job(spark, "/root/testdata/sf0.001")
 
-    def get(self, key, default):
-        return default
 
+def test_settings_of_the_caller_stay(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    assert tune(other).conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
 
-def test_staging_never_uses_local_disk_on_a_cluster(spark):
-    assert staging_root(WithoutSharedFolder("yarn")) is None
-    folder = staging_root(WithoutSharedFolder("local[2]"))
-    assert os.path.isdir(folder)
-    assert staging_root(WithoutSharedFolder("local[2]")) == folder
+
+def test_refresh_alerts_replaces_only_the_named_groups(spark):
+    columns = "rule_group string, alert_message string"
+    stored = spark.createDataFrame(
+        [("data_quality", "kept"), ("generated_monitoring", "old")], columns
+    )
+    fresh = spark.createDataFrame([("generated_monitoring", "new")], columns)
+    rows = alerting.refresh_alerts(stored, fresh, alerting.MONITORING_GROUPS).collect()
+    assert {r["alert_message"] for r in rows} == {"kept", "new"}
 
 
 def test_audit_finds_each_kind_of_violation(spark, mixed):
@@ -198,7 +246,7 @@ def test_audit_finds_each_kind_of_violation(spark, mixed):
         mixed.ad_requests.filter(F.col("tracking_id") == "trk_hand_001")
     ).withColumn("platform", F.lit("windows"))
     report = audit.constraint_audit(
-        {"ad_requests": requests, "campaigns": mixed.campaigns.filter("campaign_id <> 9")}
+        {"ad_requests": requests, "campaigns": mixed.campaigns.filter("campaign_id <> 4")}
     )
     found = {
         (r["table_name"], r["constraint_kind"], r["column_name"]): r["violations"]
@@ -206,8 +254,8 @@ def test_audit_finds_each_kind_of_violation(spark, mixed):
     }
     assert found["ad_requests", "primary_key", "ad_request_id"] == 1
     assert found["ad_requests", "unique", "tracking_id"] == 1
-    assert found["ad_requests", "domain", "platform"] == 8
-    assert found["ad_requests", "foreign_key", "campaign_id"] == 1
+    assert found["ad_requests", "domain", "platform"] == 9
+    assert found["ad_requests", "foreign_key", "campaign_id"] == 2
     assert found["ad_requests", "not_null", "country"] == 0
     assert ("ad_requests", "foreign_key", "user_id") not in found
 
