@@ -38,6 +38,22 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+# Texts are long: batches for Python workers are bounded by size, not only rows.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+}
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Bound what a Python worker gets at once, unless the session has its own."""
+    chosen = spark._jsparkSession.sessionState().conf()
+    for key, value in BATCHES.items():
+        if not chosen.contains(key):
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Where all executors can write: the checkpoint folder the session names.
 
@@ -58,7 +74,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
+        self.spark = small_batches(spark)
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:

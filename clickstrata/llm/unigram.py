@@ -24,7 +24,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickstrata.llm.common import worker_store
+from clickstrata.llm.common import small_batches, worker_store
 
 # The word mark, the penalty of unknown characters, the white space.
 MARK = "▁"
@@ -105,6 +105,7 @@ def count_pieces(
             found.insert(0, "id", frame["id"].to_numpy())
             yield found
 
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.col(text_col).cast("string").alias("text"),
