@@ -21,13 +21,14 @@ import hashlib
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickstrata.llm.common import Scratch, folded
 
 SALTS = 8
 
 
-@F.pandas_udf("struct<h: binary, sha: string>")
+@F.pandas_udf(T.StructType().add("h", T.BinaryType()).add("sha", T.StringType()))
 def content_hash(texts: pd.Series) -> pd.DataFrame:
     """MD5 and SHA-256 of the normalised text."""
     bodies = map(folded, texts)
@@ -35,7 +36,7 @@ def content_hash(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["h", "sha"])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def normalised(texts: pd.Series) -> pd.Series:
     return texts.map(lambda text: folded(text).decode())
 

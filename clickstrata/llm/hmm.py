@@ -34,6 +34,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickstrata.llm.common import Scratch, words
 
@@ -54,7 +55,7 @@ def word_class(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % CLASSES
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _class_of(found: pd.Series) -> pd.Series:
     return found.map(lambda word: word_class(word.encode()))
 

@@ -26,6 +26,7 @@ import math
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickstrata.llm.common import Scratch, folded
 
@@ -38,7 +39,7 @@ SCHEMA = (
 )
 
 
-@F.pandas_udf("struct<tokens: long, cluster: binary>")
+@F.pandas_udf(T.StructType().add("tokens", T.LongType()).add("cluster", T.BinaryType()))
 def measured(texts: pd.Series) -> pd.DataFrame:
     bodies = map(folded, texts)
     rows = [(len(body.split()) + 1, hashlib.md5(body).digest()) for body in bodies]

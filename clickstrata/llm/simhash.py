@@ -42,6 +42,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickstrata.llm.common import Scratch, words
 from clickstrata.llm.components import connected_components
@@ -82,14 +83,14 @@ def majority(hashed: np.ndarray) -> int:
 
 
 def _of_shingles(k: int):
-    @F.pandas_udf("long")
+    @F.pandas_udf(T.LongType())
     def fingerprint(texts: pd.Series) -> pd.Series:
         return texts.map(lambda text: majority(hashes(shingles(text, k))))
 
     return fingerprint
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def _of_words(texts: pd.Series) -> pd.Series:
     return texts.map(lambda text: majority(hashes(list(set(words(text))))))
 
@@ -304,14 +305,14 @@ def simhash_components(
     return prints.join(named, "fp").select("id", "fp", "component_id")
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _shingle_set(texts: pd.Series) -> pd.Series:
     return texts.map(
         lambda text: np.unique(hashes(shingles(text, 5) or [b""])).tobytes()
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _jaccard(left: pd.Series, right: pd.Series) -> pd.Series:
     def of(a: bytes, b: bytes) -> float:
         x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
