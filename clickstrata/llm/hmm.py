@@ -73,7 +73,8 @@ def _count_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if len(counts) > DISTINCT:
                 yield passed_on()
                 counts.clear()
-    yield passed_on()
+    if counts:
+        yield passed_on()
 
 
 def _encoder(shared):
