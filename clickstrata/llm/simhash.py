@@ -16,22 +16,31 @@ blocks becomes a group of its own: memory stays bounded and no row is dropped.
 
 ``simhash_components`` links equal or close fingerprints; a bucket reports a
 spanning forest of its links rather than all pairs, which has the same
-components.  ``near_duplicates`` takes close fingerprints of the distinct words
-as candidates and keeps links whose five-word shingles have a Jaccard similarity
-of at least 0.8.  Its first round checks each document against its closest
-candidates only; the second checks every candidate pair that the first has left
-in different components, so the result is that of checking them all.
+components.
+
+``near_duplicates`` links documents whose five-word shingles have a Jaccard
+similarity of at least 0.8, and loses none of these links.  Equal sets of
+shingles are one node.  A first round checks close fingerprints of the distinct
+words, each node against its closest candidates inside one block only; this is
+no more than a cheap way to join large groups early.  The second round is exact:
+the shingles of a set are put in one order for all sets, rare ones first, and two
+sets as similar as that must share one of the first ``prefix_length``.  Pairs
+that share one, that the first round left in different components and that pass
+the bounds by size and position are checked.  Which shingles count as common is
+taken from a sample; it decides how many pairs are checked, not which are found.
 
 Defined results: a null text counts as empty; a text of fewer words than a
 shingle is one shingle; a text without words has fingerprint zero (in
 ``near_duplicates`` an empty shingle) and is linked like any other; rows with a
 null id get a fingerprint, and the component's smallest id that isn't null.
-``near_duplicates`` leaves rows with a null id alone, and rows that repeat an id
-share its decision.  An empty table gives no rows.
+``near_duplicates`` leaves rows with a null id alone; an id that repeats with
+different texts has a row for each component they are in.  An empty table gives
+no rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from functools import partial
@@ -50,8 +59,12 @@ from clickstrata.llm.components import connected_components
 BITS = 64
 BLOCK = 512  # most rows of a bucket that one group takes from each side
 PAIRS = 200_000  # pairs that are followed at once
-MEMBER = ("fp", "node", "part", "block")
+MEMBER = ("fp", "node", "block")
 CLOSEST = 3  # candidates of a document in the first round, for each key
+SAMPLE = 16  # one document in so many is read to find common shingles
+COMMON = 3  # documents of the sample that make a shingle common
+MOST_COMMON = 500_000  # common shingles that are sent to the workers at most
+EPS = 1e-9  # keeps rounding from tightening a bound
 _hash = partial(xxhash.xxh64_intdigest, seed=42)
 
 
@@ -90,11 +103,6 @@ def _of_shingles(k: int):
     return fingerprint
 
 
-@F.pandas_udf(T.LongType())
-def _of_words(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda text: majority(hashes(list(set(words(text))))))
-
-
 # --- pigeonring index -------------------------------------------------------------
 
 
@@ -211,8 +219,6 @@ def _bucket_links(tau: int, m: int, report: str):
             # A pair inside one block belongs to that block's own group.
             keep = inner[left] | (flat["block"][left] != flat["block"][right])
             keep &= flat["node"][left] != flat["node"][right]
-            if report == "crossing":
-                keep &= flat["part"][left] != flat["part"][right]
             left, right = left[keep], right[keep]
             keep = follow_chains(values, left, right, tau, m, starts)
             links.append(np.stack([left[keep], right[keep]]))
@@ -236,13 +242,32 @@ def _bucket_links(tau: int, m: int, report: str):
     return links
 
 
-def close_pairs(
-    nodes: DataFrame, tau: int, report: str, n: int, block: int = BLOCK
-) -> DataFrame:
-    """Links (a, b) between nodes (node, fp, part) whose fingerprints are close.
+def _cells(keyed: DataFrame, keys: list[str], members: list[str], across: bool):
+    """Groups of rows (keys, n, members) of equal keys, n rows to a key in all.
+
+    Each pair of a key's blocks is a group (lo, hi), or each block if not ``across``.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    others = F.expr("sequence(0, blocks - 1)") if across else F.array("block")
+    return (
+        keyed.withColumn("blocks", blocks)
+        .withColumn("block", F.pmod(F.xxhash64("node", *keys), "blocks").cast("int"))
+        .withColumn("other", F.explode(others))
+        .withColumn("lo", F.least("block", "other"))
+        .withColumn("hi", F.greatest("block", "other"))
+        .withColumn("cell", F.xxhash64(*keys, "lo", "hi"))
+        .repartition("cell")
+        .groupBy("cell", *keys, "lo", "hi")
+        .agg(*[F.collect_list(c).alias(c) for c in members])
+        .filter(F.size("node") > 1)
+    )
+
+
+def close_pairs(nodes: DataFrame, tau: int, report: str, n: int) -> DataFrame:
+    """Links (a, b) between nodes (node, fp) whose fingerprints are close.
 
     ``report``: "forest" spans each bucket's components, "closest" gives each
-    node's closest partners, "crossing" all pairs of nodes of different parts.
+    node's closest partners in its block.
     """
     m = segments_for(n, tau)
     masks = segments(m)
@@ -255,24 +280,12 @@ def close_pairs(
         )
         for i, pattern in enumerate(chain_patterns(tau, m))
     ]
-    keyed = nodes.select("node", "fp", "part", F.explode(F.array(*keys)).alias("key"))
-    keyed = keyed.select("node", "fp", "part", "key.pattern", "key.value")
+    keyed = nodes.select("node", "fp", F.explode(F.array(*keys)).alias("key"))
+    keyed = keyed.select("node", "fp", "key.pattern", "key.value")
     sizes = keyed.groupBy("pattern", "value").agg(F.count(F.lit(1)).alias("n"))
     keyed = keyed.join(sizes.filter("n > 1"), ["pattern", "value"])
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    cells = (
-        keyed.withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
-        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-        .withColumn("lo", F.least("block", "other"))
-        .withColumn("hi", F.greatest("block", "other"))
-        .withColumn("cell", F.xxhash64("pattern", "value", "lo", "hi"))
-        .repartition("cell")
-        .groupBy("cell", "pattern", "value", "lo", "hi")
-        .agg(*[F.collect_list(c).alias(c) for c in MEMBER])
-        .filter(F.size("fp") > 1)
-        .select("pattern", "lo", "hi", *MEMBER)
-    )
+    cells = _cells(keyed, ["pattern", "value"], list(MEMBER), report == "forest")
+    cells = cells.select("pattern", "lo", "hi", *MEMBER)
     return cells.mapInPandas(_bucket_links(tau, m, report), "a long, b long").distinct()
 
 
@@ -294,7 +307,7 @@ def simhash_components(
     )
     prints = scratch.store(prints, "prints")
     reps = scratch.store(prints.groupBy("fp").agg(F.min("id").alias("rep")), "reps")
-    nodes = reps.select(F.col("fp").alias("node"), "fp", F.lit(0).alias("part"))
+    nodes = reps.select(F.col("fp").alias("node"), "fp")
     links = close_pairs(nodes, tau, "forest", reps.count())
     rooted = connected_components(links)
     rooted = reps.join(rooted, reps["fp"] == rooted["node"], "left").select(
@@ -305,11 +318,19 @@ def simhash_components(
     return prints.join(named, "fp").select("id", "fp", "component_id")
 
 
+def shingle_set(text: str | None) -> np.ndarray:
+    """Hashes of the five-word shingles, each once and in order."""
+    return np.unique(hashes(shingles(text, 5) or [b""]))
+
+
 @F.pandas_udf(T.BinaryType())
 def _shingle_set(texts: pd.Series) -> pd.Series:
-    return texts.map(
-        lambda text: np.unique(hashes(shingles(text, 5) or [b""])).tobytes()
-    )
+    return texts.map(lambda text: shingle_set(text).tobytes())
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _shingle_list(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda text: shingle_set(text).view(np.int64))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -322,47 +343,179 @@ def _jaccard(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([of(a, b) for a, b in zip(left, right, strict=True)])
 
 
-def near_duplicates(
-    docs: DataFrame,
-    tau: int = 7,
-    similarity: float = 0.8,
-    id_col: str = "doc_id",
-    text_col: str = "text",
+def prefix_length(size: int, similarity: float) -> int:
+    """Shingles of which a set shares one with each set as similar as that."""
+    return size - math.ceil(similarity * size - EPS) + 1
+
+
+def prefix(found: np.ndarray, common: np.ndarray, counts: np.ndarray, similarity: float):
+    """The first shingles of a sorted set: rare before common, then by hash."""
+    n = prefix_length(len(found), similarity)
+    if not len(common):
+        return found[:n]
+    at = np.minimum(np.searchsorted(common, found), len(common) - 1)
+    rank = np.where(common[at] == found, counts[at], 0)
+    return found[np.lexsort((found, rank))[:n]]
+
+
+def common_shingles(texts: DataFrame, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingles that are common in the sample (row, text), with their counts."""
+    sample = texts.filter(F.pmod(F.xxhash64("row"), F.lit(SAMPLE)) == 0)
+    counted = sample.select(F.explode(_shingle_list("text")).alias("shingle"))
+    counted = counted.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    counted = scratch.store(counted.filter(F.col("n") >= COMMON), "common")
+    # One row per count that occurs; the rarest are left out if there are too many.
+    held, least = 0, COMMON
+    for n, many in sorted(map(tuple, counted.groupBy("n").count().collect()), reverse=True):
+        held += many
+        if held > MOST_COMMON:
+            least = n + 1
+            break
+    found = counted.filter(F.col("n") >= least).toPandas().astype(np.int64)
+    keys = found["shingle"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], found["n"].to_numpy()[order]
+
+
+def _signatures(spark, common: tuple[np.ndarray, np.ndarray], similarity: float):
+    shared = spark.sparkContext.broadcast(common)
+
+    @F.pandas_udf("fp long, digest binary, size int, prefix array<long>")
+    def signature(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text in texts:
+            found = shingle_set(text)
+            rows.append(
+                (
+                    majority(hashes(list(set(words(text))))),
+                    hashlib.md5(found.tobytes()).digest(),
+                    len(found),
+                    prefix(found, *shared.value, similarity).view(np.int64),
+                )
+            )
+        return pd.DataFrame(rows, columns=["fp", "digest", "size", "prefix"])
+
+    return signature
+
+
+SHARING = ["node", "part", "size", "at", "block"]
+
+
+def _sharing_pairs(similarity: float):
+    """Pairs of groups that share a shingle, cross parts and may be similar."""
+
+    def of(groups: pd.DataFrame) -> np.ndarray:
+        flat = {c: np.concatenate(groups[c].to_list()) for c in SHARING}
+        inner = np.repeat((groups["lo"] == groups["hi"]).to_numpy(), groups["n"])
+        pairs = []
+        for left, right in _pairs(groups["n"].to_numpy()):
+            keep = inner[left] | (flat["block"][left] != flat["block"][right])
+            keep &= flat["part"][left] != flat["part"][right]
+            left, right = left[keep], right[keep]
+            x, y = flat["size"][left].astype(int), flat["size"][right].astype(int)
+            keep = np.minimum(x, y) >= similarity * np.maximum(x, y) - EPS
+            # At their first shared shingle, what follows it bounds what they share.
+            rest = np.minimum(x - flat["at"][left], y - flat["at"][right])
+            keep &= rest >= similarity / (1 + similarity) * (x + y) - EPS
+            pairs.append(np.stack([left[keep], right[keep]]))
+        return np.sort(flat["node"][np.concatenate(pairs, axis=1)], axis=0)
+
+    def pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            frame["n"] = frame["node"].map(len)
+            a, b = of(frame)
+            yield pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+
+    return pairs
+
+
+def sharing_pairs(nodes: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """All pairs (a, b) of nodes (node, part, size, prefix) that may be similar.
+
+    Pairs inside one part are left out.
+    """
+    entries = nodes.select(
+        "node", "part", "size", F.posexplode("prefix").alias("at", "shingle")
+    )
+    shared = entries.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("n"), F.min("part").alias("p"), F.max("part").alias("q")
+    )
+    shared = scratch.store(shared.filter("p < q").select("shingle", "n"), "shared")
+    cells = _cells(entries.join(shared, "shingle"), ["shingle"], SHARING, True)
+    cells = cells.select("lo", "hi", *SHARING)
+    return cells.mapInPandas(_sharing_pairs(similarity), "a long, b long").distinct()
+
+
+def near_groups(
+    rows: DataFrame, scratch: Scratch, tau: int = 7, similarity: float = 0.8
 ) -> DataFrame:
-    """(id, component_id) of documents that have a near copy."""
-    scratch = Scratch(docs.sparkSession, "near-duplicates")
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("node"),
-        F.col(text_col).cast("string").alias("text"),
-    ).filter("node is not null")
-    prints = rows.select("node", _of_words("text").alias("fp"))
-    prints = scratch.store(prints, "prints").withColumn("part", F.col("node"))
-    n = prints.count()
+    """(id, row, group) of rows (id, row, text); near copies are in one group.
+
+    Rows of equal ``row`` must have equal texts.
+    """
+    spark = rows.sparkSession
+    common = common_shingles(rows, scratch)
+    signature = _signatures(spark, common, similarity)
+    prints = rows.select("id", "row", signature("text").alias("s"))
+    prints = scratch.store(prints.select("id", "row", "s.*"), "prints")
+    # Numbered once and stored: a node is a set of shingles.
+    nodes = prints.groupBy("digest").agg(
+        *[F.min(c).alias(c) for c in ("fp", "size", "prefix", "row")]
+    )
+    nodes = nodes.withColumn("node", F.monotonically_increasing_id())
+    nodes = scratch.store(nodes, "nodes")
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         pairs = scratch.store(pairs, f"{name}-pairs")
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        ends = scratch.store(ends, f"{name}-ends")
-        sets = rows.join(ends, "node", "left_semi")
+        ends = scratch.store(nodes.join(ends, "node").select("node", "row"), f"{name}-ends")
+        sets = rows.select("row", "text").join(ends, "row")
         sets = sets.select("node", _shingle_set("text").alias("set"))
         sets = scratch.store(sets, f"{name}-sets").groupBy("node").agg(F.min("set"))
         sizes = F.octet_length("x") / F.octet_length("y")
         return scratch.store(
             pairs.join(sets.toDF("a", "x"), "a")
             .join(sets.toDF("b", "y"), "b")
-            .filter(sizes.between(similarity, 1 / similarity))
+            .filter(sizes.between(similarity - EPS, 1 / similarity + EPS))
             .filter(_jaccard("x", "y") >= similarity)
             .select("a", "b"),
             name,
         )
 
-    near = confirmed(close_pairs(prints, tau, "closest", n), "near")
+    near = close_pairs(nodes.select("node", "fp"), tau, "closest", nodes.count())
+    near = confirmed(near, "near")
     rooted = scratch.store(connected_components(near), "rooted")
-    parts = prints.drop("part").join(rooted, "node", "left")
-    parts = parts.withColumn("part", F.coalesce("root", "node")).drop("root")
-    rest = confirmed(close_pairs(parts, tau, "crossing", n), "rest")
-    links = near.union(rest)
-    return connected_components(links).toDF("id", "component_id")
+    parts = nodes.join(rooted, "node", "left").select(
+        "node", "size", "prefix", F.coalesce("root", "node").alias("part")
+    )
+    rest = confirmed(sharing_pairs(parts, similarity, scratch), "rest")
+    rooted = connected_components(near.union(rest))
+    named = nodes.select("node", "digest").join(rooted, "node", "left")
+    named = named.select("digest", F.coalesce("root", "node").alias("group"))
+    named = scratch.store(named, "named")
+    return scratch.store(
+        prints.select("id", "row", "digest").join(named, "digest").drop("digest"), "groups"
+    )
+
+
+def near_duplicates(
+    docs: DataFrame,
+    tau: int = 7,
+    similarity: float = 0.8,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """(id, component_id) of documents that have a near copy."""
+    scratch = Scratch(docs.sparkSession, "near-duplicates")
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"),
+        F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("row"),
+        F.col(text_col).cast("string").alias("text"),
+    ).filter("id is not null")
+    found = near_groups(rows, scratch, tau, similarity).select("id", "group")
+    least = found.groupBy("group").agg(F.min("id").alias("component_id"), F.max("id").alias("m"))
+    least = scratch.store(least.filter("component_id < m").drop("m"), "least")
+    return found.join(least, "group").select("id", "component_id").distinct()
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:

@@ -272,3 +272,48 @@ def test_forward_recursion_is_exact():
         for symbol in sequence[1:]:
             alpha = (alpha @ move) * emit[symbol]
         assert math.isclose(10**log, alpha.sum(), rel_tol=1e-12)
+
+
+def _block_edits(rng) -> list[str]:
+    """Texts with copies in which a passage was changed, added or cut."""
+    texts = []
+    for n in (15, 20, 40, 50, 100, 200, 300):
+        for _ in range(6):
+            base = [f"v{x}" for x in rng.integers(0, 10**6, n)]
+            r = int(rng.integers(1, max(2, n // 11)))
+            at = int(rng.integers(0, n - r))
+            new = [f"n{x}" for x in rng.integers(0, 10**6, r)]
+            for changed in (
+                base,
+                base[:at] + new + base[at + r :],
+                base[:-r] + new,
+                base + new,
+                base[r:],
+            ):
+                texts.append(" ".join(changed))
+    shared = " ".join(f"license{i}" for i in range(30))
+    texts += [f"{shared} {' '.join(f'u{x}' for x in rng.integers(0, 10**6, 12))}" for _ in range(40)]
+    return texts + ["same few words"] * 3 + ["a b c d e f"] * 2
+
+
+def _plain_groups(texts: list[str], similarity: float = 0.8) -> dict[int, int]:
+    """Components of all pairs by exact Jaccard similarity of shingles."""
+    sets = [set(simhash.shingles(t, 5) or [b""]) for t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both >= similarity * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((label[i], label[j]))
+                label = [a if x == b else x for x in label]
+    size = Counter(label)
+    return {i: x for i, x in enumerate(label) if size[x] > 1}
+
+
+@pytest.mark.parametrize("block", [simhash.BLOCK, 4])
+def test_near_duplicates_equal_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    texts = _block_edits(np.random.default_rng(11))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert found == _plain_groups(texts)
