@@ -34,6 +34,20 @@ def words(text: str | None) -> list[bytes]:
     return folded(text).split()
 
 
+def with_row_key(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows with ``row``, a key that only rows equal in all columns share."""
+    parts = [x for c in docs.columns for x in (F.col(c), F.isnull(c))]
+    body = F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    return docs.withColumn("row", F.concat(body, F.hex(F.xxhash64(*parts))))
+
+
+def without_rows(keyed: DataFrame, gone: DataFrame, twins: DataFrame) -> DataFrame:
+    """The keyed rows less those ``gone`` and all but one of the equal rows ``twins``."""
+    rest = keyed.join(gone.union(twins), "row", "left_anti")
+    one = keyed.join(twins, "row", "left_semi").dropDuplicates(["row"])
+    return rest.unionByName(one).drop("row")
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

@@ -12,6 +12,7 @@
 Defined results: a null text counts as empty; a row with a null id is kept only
 if all ids of its group are null; rows that repeat both id and text stand for
 the same document and share its decision; an empty table gives no rows.
+``without_copies`` keeps exactly one row of each group of equal texts.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickstrata.llm.common import Scratch, folded
+from clickstrata.llm.common import Scratch, folded, with_row_key, without_rows
 
 SALTS = 8
 
@@ -47,15 +48,16 @@ def exact_dedup(
     text_col: str = "text",
     keep: str = "smallest",
     salts: int = SALTS,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(id, keep_id, group_size, kept, text_sha256), one row per input row."""
+    """(id, keep_id, group_size, kept, text_sha256, *carry), one row per input row."""
     pick = {"smallest": F.min, "largest": F.max}[keep]
     scratch = Scratch(docs.sparkSession, "exact-dedup")
     rows = docs.select(
-        F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")
+        F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *carry
     )
     hashed = rows.withColumn("hash", content_hash("text"))
-    digests = scratch.store(hashed.select("id", "hash.h", "hash.sha"), "digests")
+    digests = scratch.store(hashed.select("id", "hash.h", "hash.sha", *carry), "digests")
 
     repeated = digests.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     repeated = scratch.store(repeated.select("h"), "repeated")
@@ -97,12 +99,21 @@ def exact_dedup(
             F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
             F.expr("alone or id <=> keep_id").alias("kept"),
             F.col("sha").alias("text_sha256"),
+            *carry,
         )
     )
 
 
 def without_copies(docs: DataFrame, keep: str = "smallest") -> DataFrame:
-    """The documents that stay, with all their columns."""
-    decided = exact_dedup(docs, keep=keep).filter(~F.col("kept"))
-    gone = Scratch(docs.sparkSession, "exact-dedup").store(decided.select("id"), "gone")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["id"]), "left_anti")
+    """One row of each group of equal texts, with all its columns."""
+    scratch = Scratch(docs.sparkSession, "exact-dedup")
+    keyed = with_row_key(docs)
+    decided = exact_dedup(keyed, keep=keep, carry=("row",)).filter("group_size > 1")
+    decided = scratch.store(decided.select("text_sha256", "kept", "row"), "decided")
+    best = decided.filter("kept").groupBy("text_sha256").agg(F.min("row").alias("best"))
+    best = scratch.store(best, "best")
+    gone = decided.join(best, "text_sha256").filter("row != best").select("row")
+    gone = scratch.store(gone.distinct(), "gone")
+    twins = decided.join(best.select(F.col("best").alias("row")), "row", "left_semi")
+    twins = twins.groupBy("row").count().filter("count > 1").select("row")
+    return without_rows(keyed, gone, scratch.store(twins, "twins"))

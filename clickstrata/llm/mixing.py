@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clickstrata.llm.common import Scratch, word_count
+from clickstrata.llm.common import Scratch, with_row_key, word_count
 
 # The weights by order of sources, and the most passes.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -61,14 +61,16 @@ def mix(
     text_col: str = "text",
     source_col: str = "source",
     range_rows: int = RANGE_ROWS,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(id, source, size, source_size, target, taken), one row per input row."""
+    """(id, source, size, source_size, target, taken, *carry), one row per input row."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
     rows = docs.select(
         F.col(id_col).alias("id"),
         F.col(source_col).cast("string").alias("source"),
         word_count(F.col(text_col).cast("string")).alias("size"),
+        *carry,
     ).withColumn("key", F.xxhash64("id", F.lit(seed)))
     rows = scratch.store(rows, "sized")
 
@@ -101,6 +103,7 @@ def mix(
         "source_size",
         "target",
         F.least(slot, F.col("ranges") - 1).cast("long").alias("slot"),
+        *carry,
     )
     totals = rows.groupBy("source", "slot").agg(F.sum("size").alias("words"))
     before = W.partitionBy("source").orderBy("slot").rowsBetween(
@@ -113,7 +116,7 @@ def mix(
     )
     inside = (
         W.partitionBy("source", "slot")
-        .orderBy("key", F.col("id").asc_nulls_first(), "size")
+        .orderBy("key", F.col("id").asc_nulls_first(), "size", *carry)
         .rowsBetween(W.unboundedPreceding, -1)
     )
     placed = rows.withColumn("prefix", F.coalesce(F.sum("size").over(inside), F.lit(0)))
@@ -137,6 +140,7 @@ def mix(
             "source_size",
             "target",
             (F.col("passes") * F.col("size") + F.col("part")).alias("taken"),
+            *carry,
         )
     )
 
@@ -145,12 +149,21 @@ def mixed(docs: DataFrame) -> DataFrame:
     """The mix as rows: a document once for each pass that takes it.
 
     The document at which a source's budget ends is in the last pass if at
-    least half of it lies within the budget; texts are never cut.
+    least half of it lies within the budget; texts are never cut.  Rows equal in all
+    columns can't be told apart: one of them stands for the copies of all.
     """
+    keyed = with_row_key(docs)
     copies = F.expr("cast(floor(taken / size + 0.5) as int)")
-    taken = mix(docs).filter("size > 0").select("id", copies.alias("copies"))
-    taken = taken.filter("copies > 0").groupBy("id").agg(F.max("copies").alias("n"))
-    passes = taken.select("id", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("k"))
-    chosen = Scratch(docs.sparkSession, "mixing").store(passes.drop("k"), "chosen")
-    joined = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["id"]))
-    return joined.select(*[docs[c] for c in docs.columns])
+    taken = mix(keyed, carry=("row",)).filter("size > 0").withColumn("copies", copies)
+    taken = taken.groupBy("row").agg(
+        F.sum("copies").cast("int").alias("n"), F.count(F.lit(1)).alias("rows")
+    )
+    scratch = Scratch(docs.sparkSession, "mixing")
+    chosen = scratch.store(taken.filter("n > 0"), "chosen")
+    single = keyed.join(chosen.filter("rows = 1").select("row", "n"), "row")
+    twins = chosen.filter("rows > 1").select("row", "n")
+    equal = keyed.join(twins, "row").dropDuplicates(["row"])
+    passes = single.unionByName(equal).withColumn(
+        "pass", F.explode(F.sequence(F.lit(1), F.col("n")))
+    )
+    return passes.select(*docs.columns)

@@ -35,7 +35,7 @@ shingle is one shingle; a text without words has fingerprint zero (in
 null id get a fingerprint, and the component's smallest id that isn't null.
 ``near_duplicates`` leaves rows with a null id alone; an id that repeats with
 different texts has a row for each component they are in.  An empty table gives
-no rows.
+no rows.  ``without_near_copies`` decides by row, those with a null id included.
 """
 
 from __future__ import annotations
@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickstrata.llm.common import Scratch, words
+from clickstrata.llm.common import Scratch, with_row_key, without_rows, words
 from clickstrata.llm.components import connected_components
 
 BITS = 64
@@ -519,7 +519,21 @@ def near_duplicates(
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id."""
-    found = near_duplicates(docs).filter("id != component_id").select("id")
-    gone = Scratch(docs.sparkSession, "near-duplicates").store(found, "gone")
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["id"], "left_anti")
+    """One row of each group of near copies: that with the smallest id, nulls last."""
+    scratch = Scratch(docs.sparkSession, "near-duplicates")
+    keyed = with_row_key(docs)
+    rows = keyed.select(
+        F.col("doc_id").cast("long").alias("id"), "row", F.col("text").cast("string")
+    )
+    found = near_groups(rows, scratch)
+    order = F.struct(F.isnull("id"), "id", "row")
+    best = found.groupBy("group").agg(
+        F.min(order).alias("best"), F.count(F.lit(1)).alias("n")
+    )
+    best = scratch.store(best.filter("n > 1").select("group", "best.row"), "best")
+    several = found.join(best.withColumnRenamed("row", "best"), "group")
+    gone = several.filter("row != best").select("row").distinct()
+    twins = several.filter("row = best").groupBy("row").count().filter("count > 1")
+    return without_rows(
+        keyed, scratch.store(gone, "gone"), scratch.store(twins.select("row"), "twins")
+    )

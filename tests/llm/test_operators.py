@@ -317,3 +317,75 @@ def test_near_duplicates_equal_all_pairs(spark, monkeypatch, block):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r.id: r.component_id for r in simhash.near_duplicates(docs).collect()}
     assert found == _plain_groups(texts)
+
+
+STAGE_SCHEMA = "doc_id long, text string, lang string, source string"
+
+
+def test_exact_copies_leave_one_row_of_each_text(spark):
+    rows = [
+        (1, "same text", "en", "a"),
+        (None, "Same text", "en", "a"),
+        (None, "only here", "en", "a"),
+        (None, "twice without id", "en", "a"),
+        (None, "twice without id", "en", "b"),
+        (2, "same text", "en", "a"),
+        (2, "the other text of 2", "en", "a"),
+        (3, "row again", "en", "a"),
+        (3, "row again", "en", "a"),
+    ]
+    stay = exact_dedup.without_copies(spark.createDataFrame(rows, STAGE_SCHEMA)).collect()
+    assert sorted(((r.doc_id or 0), r.text) for r in stay) == [
+        (0, "only here"),
+        (0, "twice without id"),
+        (1, "same text"),
+        (2, "the other text of 2"),
+        (3, "row again"),
+    ]
+
+
+def test_near_copies_are_dropped_by_row(spark):
+    text = " ".join(f"p{i}" for i in range(60))
+    rows = [
+        (4, text, "en", "a"),
+        (7, text + " end", "en", "a"),
+        (7, "another text of the same id", "en", "a"),
+        (None, text + " close", "en", "a"),
+        (None, "a text of its own without id", "en", "a"),
+        (8, "equal row", "en", "a"),
+        (8, "equal row", "en", "a"),
+    ]
+    stay = simhash.without_near_copies(spark.createDataFrame(rows, STAGE_SCHEMA)).collect()
+    assert sorted(((r.doc_id or 0), r.text) for r in stay) == [
+        (0, "a text of its own without id"),
+        (4, text),
+        (7, "another text of the same id"),
+        (8, "equal row"),
+    ]
+
+
+def test_quality_rejects_by_row(spark):
+    rng = np.random.default_rng(1)
+    common = [f"word{i}" for i in range(60)]
+    clean = [" ".join(rng.choice(common, 80)) for _ in range(120)]
+    junk = " ".join(f"q{x}%%" for x in rng.integers(0, 10**9, 80))
+    rows = [(i, t, "en", "a") for i, t in enumerate(clean)]
+    rows += [(None, junk, "en", "a"), (None, clean[0], "en", "a"), (5, junk + " x", "en", "a")]
+    labels = spark.createDataFrame(
+        [(i, 1, 0) for i in range(20, 120)], "doc_id long, quality int, toxic int"
+    )
+    stay = quality.accepted(spark.createDataFrame(rows, STAGE_SCHEMA), labels).collect()
+    assert [r.text for r in stay if r.doc_id is None] == [clean[0]]
+    assert [r.text for r in stay if r.doc_id == 5] == [clean[5]]
+
+
+def test_mixing_repeats_by_row(spark):
+    # One id in three sources: each row takes the passes of its own source.
+    rows = [(1, "a " * 300, "en", "a"), (1, "b " * 60, "en", "b"), (None, "c " * 60, "en", "c")]
+    rows += [(None, "d " * 60, "en", "c"), (2, "e " * 30, "en", "b"), (2, "e " * 30, "en", "b")]
+    docs = spark.createDataFrame(rows, STAGE_SCHEMA)
+    taken = Counter()
+    for r in mixing.mix(docs, carry=("text",)).collect():
+        taken[r.text] += math.floor(r.taken / r.size + 0.5)
+    found = Counter(r.text for r in mixing.mixed(docs).collect())
+    assert found == +taken and len(set(taken.values())) > 1
