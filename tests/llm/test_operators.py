@@ -389,3 +389,24 @@ def test_mixing_repeats_by_row(spark):
         taken[r.text] += math.floor(r.taken / r.size + 0.5)
     found = Counter(r.text for r in mixing.mixed(docs).collect())
     assert found == +taken and len(set(taken.values())) > 1
+
+
+def test_quality_rejects_toxic_documents(spark):
+    rng = np.random.default_rng(6)
+    common = [f"word{i}" for i in range(60)]
+    texts = []
+    for i in range(200):
+        found = list(rng.choice(common, 120))
+        if i >= 120:  # a few toxic words in an otherwise clean text
+            for at in rng.integers(0, 120, 3):
+                found[at] = f"insult{rng.integers(4)}"
+        texts.append(" ".join(found))
+    docs = spark.createDataFrame(
+        [(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string"
+    )
+    labels = spark.createDataFrame(
+        [(i, 1, int(i >= 120)) for i in range(160)], "doc_id long, quality int, toxic int"
+    )
+    found = {r.id: r.accepted for r in quality.classify(docs, labels).collect()}
+    assert sum(found[i] for i in range(120)) >= 112
+    assert sum(not found[i] for i in range(160, 200)) >= 38
