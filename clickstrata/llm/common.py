@@ -10,6 +10,7 @@ from types import ModuleType
 
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # The letters that lower-casing touches, the bytes that part words.
@@ -106,6 +107,29 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+def range_numbered(
+    scratch: Scratch, rows: DataFrame, order: list, name: str
+) -> DataFrame:
+    """The rows with their place in ``order``, from 1, in column ``name``.
+
+    A range sort gives every task a stretch of the order; the stretches' lengths
+    are summed up, one row a task.  Rows that agree in all of the order are dealt
+    out by the place they were read from, so that even they fill several tasks.
+    """
+    read = rows.withColumn("_read", F.monotonically_increasing_id())
+    sorted_ = read.repartitionByRange(*order, "_read").sortWithinPartitions(*order, "_read")
+    placed = sorted_.drop("_read").withColumn("_at", F.monotonically_increasing_id())
+    placed = scratch.store(placed, f"{name}-sorted").withColumns(
+        {"_part": F.shiftright("_at", 33), "_in": F.col("_at").bitwiseAND((1 << 33) - 1)}
+    )
+    lengths = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = lengths.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    starts = F.broadcast(scratch.store(starts, f"{name}-starts"))  # one row a task
+    place = (F.col("_start") + F.col("_in") + 1).alias(name)
+    return placed.join(starts, "_part").select(*rows.columns, place)
+
+
 def batches(rows: Iterator, limit: int, size) -> Iterator[list]:
     """Lists of rows of at most ``limit`` in all (or a single larger row)."""
     held, total = [], 0
