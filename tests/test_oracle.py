@@ -11,7 +11,9 @@ import duckdb
 import pytest
 from hand_rows import plan_of
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from clickstrata.plans.catalog import registered
+from clickstrata.plans.oracle import oracle_queries
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 # No query pairs rows without a key, leaves the JVM, limits its rows or needs a
@@ -50,13 +52,13 @@ def _bag(columns, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(registered()) == set(oracle_queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(registered()))
 def test_matches_oracle(spark, duck, name):
-    actual = queries()[name](spark, FOLDER)
-    cursor = duck.execute(oracle_sql()[name])
+    actual = registered()[name](spark, FOLDER)
+    cursor = duck.execute(oracle_queries()[name])
     expected_columns = [d[0] for d in cursor.description]
     assert sorted(actual.columns) == sorted(expected_columns)
     expected = _bag(expected_columns, cursor.fetchall())

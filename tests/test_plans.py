@@ -50,11 +50,17 @@ def test_funnel_rules_read_only_the_event_types_they_compare(stored):
     assert "EqualTo(event_type,install)" in plan
 
 
-def test_validation_reads_raw_events_once(spark, stored):
+def test_validation_reads_raw_events_once_whole_and_once_for_their_ids(spark, stored):
     raw, requests = stored["events_raw"], stored["ad_requests"]
     duplicates = validation.duplicate_event_ids(raw)
     plan = plan_of(validation.validation_errors(raw, requests, duplicates))
-    assert plan.count("/events_raw]") == 1
+    scans = [
+        {column.split("#")[0] for column in scan.split("]")[0].split(",")}
+        for scan in plan.split("FileScan parquet [")[1:]
+        if "/events_raw]" in scan.split("ReadSchema")[0]
+    ]
+    narrow, wide = sorted(scans, key=len)
+    assert narrow == {"event_id"} and len(wide) > 5
     assert plan.count("FileScan parquet") == 3
 
 
