@@ -18,7 +18,8 @@ the last w tokens, and lies wholly inside it; so every occurrence counts once.
    let others through but stops none.  As its size is fixed, it is broadcast.
 3. A candidate's cuts look up their parts' counts; the lowest score counts.
    Candidates inside a longer one of at least ``within`` percent of their count
-   are dropped; the first ``top`` of each language are numbered.
+   are dropped.  A range sort numbers the others, and the first ``top`` of each
+   language stay.
 
 Defined results: a null text is empty, a null language is ``unknown_lang``; a text
 without words counts nothing; ties in score go to the larger count, then to the
@@ -38,10 +39,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clickstrata.llm.common import Scratch, folded
+from clickstrata.llm.common import Scratch, folded, range_numbered
 
 # Fixed value: what parts pieces; blanks and tabs part words.
 PIECES = rb"[ \t]*[.,;:!?\x0A-\x0D][ \t.,;:!?\x0A-\x0D]*"
@@ -268,11 +268,14 @@ def collocations(
         .filter(F.coalesce(F.lit(100) * F.col("longer") < F.lit(within) * F.col("a"), F.lit(True)))
         .drop("longer")
     )
-    order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
-    return ranked.join(totals, "lang").select(
-        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
-    )
+    # Numbered by a range sort: a language's candidates would fill one window task.
+    kept = scratch.store(kept, "kept")
+    order = ["lang", F.desc("score"), F.desc("a"), "phrase"]
+    placed = range_numbered(scratch, kept, order, "place")
+    firsts = scratch.store(placed.groupBy("lang").agg(F.min("place").alias("first")), "firsts")
+    rank = (F.col("place") - F.col("first") + 1).alias("rank")
+    ranked = placed.join(firsts, "lang").select("*", rank).filter(F.col("rank") <= top)
+    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def _part(first: Column, length: Column) -> Column:
