@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickstrata.sources.tables import (
+    KeyRange,
     Warehouse,
     starts_with_any,
     survivors,
@@ -31,6 +33,13 @@ class Scope:
     def requests(self) -> Column:
         return F.col("tracking_id").startswith(self.tracking_prefix)
 
+    def request_ranges(self) -> list[KeyRange]:
+        return [KeyRange.of_prefix("tracking_id", self.tracking_prefix)]
+
+    def event_ranges(self) -> list[KeyRange]:
+        """Where events of the scope lie, for the files' least and greatest keys."""
+        return [KeyRange.of_prefix("event_id", self.event_prefix), *self.request_ranges()]
+
 
 @dataclass(frozen=True)
 class FactTables:
@@ -78,14 +87,24 @@ def survivor_counts(tables: FactTables, scope: Scope) -> DataFrame:
 STORED = ("event_validation_errors", "events_validated", "events_raw", "ad_requests")
 
 
-def purge_warehouse(warehouse: Warehouse, scope: Scope) -> None:
-    """Delete the scope from the stored tables, referencing tables first."""
+def purge_warehouse(warehouse: Warehouse, scope: Scope) -> list[date]:
+    """Delete the scope from the stored tables, referencing tables first.
+
+    Only files that hold rows of the scope are rewritten.  Returns the days whose
+    clean events were touched: the daily tables, A/B results and alerts computed
+    from them still count the purged rows until they are refreshed
+    (``Pipeline.purge`` does both).
+    """
     missing = [name for name in STORED if not warehouse.exists(name)]
     if missing:
         raise FileNotFoundError(f"nothing was deleted; not stored: {missing}")
-    raw = warehouse.scan("events_raw")
+    ranges = scope.event_ranges()
+    raw = warehouse.scan("events_raw", ranges)
     doomed_events = raw.filter(scope.events()).select("raw_event_id")
+    clean = warehouse.scan("events_validated", ranges).filter(scope.events() & F.col("is_clean"))
+    days = [row["event_date"] for row in clean.select("event_date").distinct().collect()]
     warehouse.delete_joined("event_validation_errors", doomed_events, "raw_event_id")
-    warehouse.delete_where("events_validated", scope.events())
-    warehouse.delete_where("events_raw", scope.events())
-    warehouse.delete_where("ad_requests", scope.requests())
+    warehouse.delete_where("events_validated", scope.events(), ranges)
+    warehouse.delete_where("events_raw", scope.events(), ranges)
+    warehouse.delete_where("ad_requests", scope.requests(), scope.request_ranges())
+    return sorted(day for day in days if day is not None)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import re
 from collections import Counter
 from datetime import date, datetime
@@ -47,8 +46,8 @@ def test_pipeline_stores_every_table(spark, tmp_path, mixed):
     assert errors.filter(F.col("detected_at").isNull()).isEmpty()
     daily = warehouse.read("daily_campaign_metrics")
     assert daily.agg(F.sum("impressions")).first()[0] == 9
-    stored = Path(warehouse.path("daily_campaign_metrics"))
-    assert (stored / "metric_date=2026-06-01").is_dir()
+    files = warehouse.files("daily_campaign_metrics")
+    assert files and all("/metric_date=2026-06-01/" in path for path in files)
     assert warehouse.read("experiment_results").count() == 2
     groups = Counter(r["rule_group"] for r in pipeline.alerts.collect())
     assert groups["data_quality"] == 9
@@ -109,11 +108,16 @@ def test_refresh_of_some_days_leaves_the_others(spark, tmp_path):
     pipeline = pipeline_over(spark, tmp_path, hand)
     pipeline.validate()
     pipeline.refresh_daily_metrics()
-    stored = Path(pipeline.warehouse.path("daily_campaign_metrics"))
-    first_day = stored / "metric_date=2026-06-01"
-    before = sorted(os.listdir(first_day))
+    warehouse = pipeline.warehouse
+
+    def of_day(day):
+        files = warehouse.files("daily_campaign_metrics")
+        return [path for path in files if f"metric_date={day}" in path]
+
+    before = of_day("2026-06-01"), of_day("2026-06-02")
     pipeline.refresh_days([date(2026, 6, 2)])
-    assert sorted(os.listdir(first_day)) == before
+    assert of_day("2026-06-01") == before[0]
+    assert of_day("2026-06-02") and of_day("2026-06-02") != before[1]
     daily = pipeline.warehouse.read("daily_campaign_metrics")
     assert daily.agg(F.sum("impressions")).first()[0] == 10
 
