@@ -6,9 +6,10 @@ the step before stored, so no step recomputes another's work.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,18 +17,23 @@ from pyspark.sql import functions as F
 from clickstrata.operators import (
     alerting,
     experiments,
+    incremental,
+    maintenance,
     monitoring,
     quality_alerts,
     reporting,
     validation,
 )
 from clickstrata.operators.monitoring import DEFAULTS, Thresholds
-from clickstrata.sources.tables import Warehouse, logged
+from clickstrata.sources.tables import KeyRange, Warehouse, logged
 
 # Raw events with their errors, split by outcome: the clean half is read as
 # the clean table, the other half holds few rows and yields the error log.
 VALIDATED = "events_validated"
 
+# How often each event id was seen: what validating a new batch has to know.
+COPIES = "event_copies"
+
 # One alert log in two folders.  Quality alerts grow with the events, those of
 # the monitoring do not, so refreshing one kind never rewrites the other.
 QUALITY_ALERTS = "alerts_quality"
@@ -65,18 +71,114 @@ class Pipeline:
         classified = validation.classify_events(
             self.inputs.events_raw, self.inputs.ad_requests
         )
-        self.warehouse.full_refresh(
-            VALIDATED,
-            classified.withColumns(
-                {
-                    "is_clean": F.col("errors").isNull(),
-                    "event_date": F.to_date("event_time"),
-                }
-            ),
+        # A name of its own tells the tables that follow from this run from others.
+        run = [f"full-{uuid.uuid4().hex}"]
+        self.warehouse.full_refresh(VALIDATED, _by_outcome(classified), run)
+        self._store_errors(run)
+
+    def _store_errors(self, names: Sequence[str]) -> None:
+        errors = logged(validation.errors_of(self._half(False)))
+        self.warehouse.full_refresh("event_validation_errors", errors, names)
+
+    def take_in(
+        self, events: DataFrame, batch: str, late_requests: DataFrame | None = None
+    ) -> list[date]:
+        """Validate a new batch, put right what it changes, and refresh those days.
+
+        The result is that of a full run over all batches.  Besides the batch itself
+        this reads the counts of its ids' buckets and the days that hold a row that a
+        late copy spoils.  ``late_requests`` are requests that came after events of
+        theirs; ``inputs.ad_requests`` has to hold them as well.
+
+        Each table commits the batch's name with its rows, so repeating a batch after
+        a failure adds nothing twice, and a table that missed a batch is computed
+        again from the validated events.  Returns the days that were refreshed.
+        """
+        self._catch_up()
+        if batch in self.warehouse.landed(VALIDATED):
+            return []
+        requests = self.inputs.ad_requests
+        stored = self.validated
+        columns = [c for c in stored.columns if c not in ("errors", "is_clean", "event_date")]
+        events = events.select(*columns)
+        arrived = incremental.copies_of(events)
+        seen = incremental.seen_before(self.warehouse.scan(COPIES), arrived).persist()
+        spoiled = incremental.spoiled_by(seen)
+        days = [row[0] for row in spoiled.select("event_date").distinct().collect()]
+        of_days = stored.filter(F.col("event_date").isin(*days)) if days else stored.limit(0)
+        redone = of_days.join(spoiled.select("event_id"), "event_id", "left_semi")
+        if late_requests is not None:
+            waiting = stored.filter(~F.col("is_clean")).join(
+                late_requests.select("tracking_id"), "tracking_id", "left_semi"
+            )
+            redone = redone.unionByName(waiting.join(redone.select("raw_event_id"), "raw_event_id", "left_anti"))
+        redone = redone.persist()
+        fresh = validation.classify_events(
+            events, requests, incremental.repeated_in(arrived, seen)
         )
-        self.warehouse.full_refresh(
-            "event_validation_errors", logged(validation.errors_of(self._half(False)))
+        again = incremental.classified_again(redone, spoiled, requests, columns)
+        old = redone.select("raw_event_id", "event_date")
+        touched = {row[0] for row in old.select("event_date").distinct().collect()}
+        self.warehouse.replace_joined(
+            VALIDATED,
+            old,
+            "raw_event_id",
+            _by_outcome(fresh.unionByName(again)),
+            batch,
+            [KeyRange("event_date", day, day + timedelta(1)) for day in touched],
         )
+        self.warehouse.append(COPIES, arrived, batch)
+        new_days = events.select(F.to_date("event_time")).distinct().collect()
+        touched |= {row[0] for row in new_days if row[0] is not None}
+        if touched:
+            changed = events.select("raw_event_id").union(old.select("raw_event_id"))
+            rejected = self._half(False).filter(F.col("event_date").isin(*touched))
+            rejected = rejected.join(changed, "raw_event_id", "left_semi")
+            errors = logged(validation.errors_of(rejected))
+            self.warehouse.replace_joined(
+                "event_validation_errors", old, "raw_event_id", errors, batch
+            )
+            self.refresh_days(sorted(touched), batch)
+        seen.unpersist()
+        redone.unpersist()
+        return sorted(touched)
+
+    def _catch_up(self) -> None:
+        """Compute again what does not hold the batches that the validated events hold."""
+        if not self.warehouse.exists(VALIDATED):
+            self.warehouse.full_refresh(
+                VALIDATED,
+                _by_outcome(
+                    validation.classify_events(
+                        self.inputs.events_raw.limit(0), self.inputs.ad_requests
+                    )
+                ),
+                [],
+            )
+        names = self.warehouse.landed(VALIDATED)
+
+        def behind(name: str) -> bool:
+            return not self.warehouse.exists(name) or self.warehouse.landed(name) != names
+
+        if behind(COPIES):
+            self.warehouse.full_refresh(COPIES, incremental.copies_of(self.validated), names)
+        if behind("event_validation_errors"):
+            self._store_errors(sorted(names))
+        if behind("daily_campaign_metrics") or behind("daily_app_metrics"):
+            self.refresh_daily_metrics()
+
+    def purge(self, scope: maintenance.Scope) -> list[date]:
+        """Delete a scope from the stored tables and refresh the days that held it.
+
+        Results that span days are brought up to date by ``compare_experiments``,
+        ``check_quality`` and ``monitor``.
+        """
+        days = maintenance.purge_warehouse(self.warehouse, scope)
+        self.refresh_days(days)
+        if self.warehouse.exists(COPIES):
+            names = self.warehouse.landed(VALIDATED)
+            self.warehouse.full_refresh(COPIES, incremental.copies_of(self.validated), names)
+        return days
 
     @property
     def validated(self) -> DataFrame:
@@ -94,15 +196,17 @@ class Pipeline:
 
     def refresh_daily_metrics(self) -> None:
         clean, scope = self.events_clean, self.scope
+        names = self.warehouse.landed(VALIDATED)
         self.warehouse.full_refresh(
             "daily_campaign_metrics",
             reporting.daily_campaign_metrics(clean, self.inputs.campaigns, scope),
+            names,
         )
         self.warehouse.full_refresh(
-            "daily_app_metrics", reporting.daily_app_metrics(clean, scope)
+            "daily_app_metrics", reporting.daily_app_metrics(clean, scope), names
         )
 
-    def refresh_days(self, days: Sequence[date]) -> None:
+    def refresh_days(self, days: Sequence[date], batch: str | None = None) -> None:
         """Recompute only some days and replace exactly their partitions.
 
         Validated events lie by day, so only those days are read.
@@ -114,9 +218,10 @@ class Pipeline:
             "daily_campaign_metrics",
             reporting.daily_campaign_metrics(clean, self.inputs.campaigns, self.scope),
             days,
+            batch,
         )
         self.warehouse.refresh_days(
-            "daily_app_metrics", reporting.daily_app_metrics(clean, self.scope), days
+            "daily_app_metrics", reporting.daily_app_metrics(clean, self.scope), days, batch
         )
 
     def clean_of_days(self, days: Sequence[date]) -> DataFrame:
@@ -167,3 +272,10 @@ class Pipeline:
             self.warehouse.read(QUALITY_ALERTS, declared_as="alerts"),
             self.warehouse.read(MONITORING_ALERTS, declared_as="alerts"),
         )
+
+
+def _by_outcome(classified: DataFrame) -> DataFrame:
+    """Classified events with what their table is laid out by."""
+    return classified.withColumns(
+        {"is_clean": F.col("errors").isNull(), "event_date": F.to_date("event_time")}
+    )
