@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from clickstrata.operators import validation
 
-BUCKETS = 32
+BUCKETS = 16
 
 
 def bucket_of(event_id: str = "event_id", buckets: int = BUCKETS) -> Column:

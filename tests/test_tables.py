@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clickstrata.operators import maintenance
 from clickstrata.sources import tables
-from clickstrata.sources.tables import CommitConflict, KeyRange, Warehouse
+from clickstrata.sources.tables import CommitConflict, File, KeyRange, Warehouse
 
 EVENT = "raw_event_id long, event_id string, tracking_id string"
 LOADS = ("alpha", "beta", "gamma")
@@ -90,15 +90,17 @@ def test_deleting_everything_leaves_an_empty_table(spark, three_loads):
     assert ids(three_loads) == [5]
 
 
-def test_prefix_ranges_hold_every_text_with_the_prefix(spark):
-    for prefix in ("evt_", "a￿", "é", "z퟿", "q\U0010ffff", "\U0010ffff"):
-        r = KeyRange.of_prefix("event_id", prefix)
+def test_prefix_ranges_hold_every_text_with_the_prefix():
+    def file(least, most):
+        return File("p", 1, 1, {"event_id": (least, most)})
+
+    for prefix in ("evt_", "a\uffff", "é", "z\ud7ff", "q\U0010ffff", "\U0010ffff"):
         texts = [prefix, prefix + "\U0010ffff", prefix + "a", prefix[:-1], prefix[:-1] + " "]
-        files = spark.createDataFrame([(t, t) for t in texts], "min_event_id string, max_event_id string")
-        kept = {row[0] for row in files.filter(r.may_be_in(files)).collect()}
+        kept = {t for t in texts if KeyRange.of_prefix("event_id", prefix).may_be_in(file(t, t))}
         assert {t for t in texts if t.startswith(prefix)} <= kept
-    only_nulls = spark.createDataFrame([(None, None)], "min_event_id string, max_event_id string")
-    assert only_nulls.filter(KeyRange.of_prefix("event_id", "e").may_be_in(only_nulls)).isEmpty()
+    assert not KeyRange.of_prefix("event_id", "e").may_be_in(file(None, None))
+    assert not KeyRange.of_prefix("event_id", "b").may_be_in(file("c", "d"))
+    assert KeyRange.of_prefix("tracking_id", "b").may_be_in(file("c", "d"))
 
 
 def test_old_files_go_with_the_versions_that_need_them(spark, three_loads, tmp_path):
@@ -108,7 +110,7 @@ def test_old_files_go_with_the_versions_that_need_them(spark, three_loads, tmp_p
     root = Path(warehouse.root) / "events_raw"
     kept = {str(p.relative_to(root / "data")) for p in (root / "data").rglob("*.parquet")}
     assert set(warehouse.files("events_raw")) <= kept and len(kept) == 4
-    assert len(warehouse.versions("events_raw")) == 2 == len(list((root / "_manifest").iterdir()))
+    assert len(warehouse.versions("events_raw")) == 2
 
 
 def test_batches_of_failed_writes_are_swept_by_age(spark, three_loads):
