@@ -35,6 +35,11 @@ def words(text: str | None) -> list[bytes]:
     return folded(text).split()
 
 
+def text_id(column: str) -> Column:
+    """An integer id on its way through pandas, which holds longs beside nulls as doubles."""
+    return F.col(column).cast("long").cast("string").alias("id")
+
+
 def with_row_key(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows with ``row``, a key that only rows equal in all columns share."""
     parts = [x for c in docs.columns for x in (F.col(c), F.isnull(c))]

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickstrata.llm.common import Scratch, words
+from clickstrata.llm.common import Scratch, text_id, words
 
 ADD = 0.1  # added to every count
 STATES = 8
@@ -121,7 +121,7 @@ def _encoder(shared):
 
 ENCODED = ["id", "held_out", "n_tokens", "codes", "head_sum", "head_known", "tail", "tf"]
 ENCODED_SCHEMA = (
-    "id long, held_out boolean, n_tokens long, codes binary, head_sum double, "
+    "id string, held_out boolean, n_tokens long, codes binary, head_sum double, "
     "head_known long, tail array<string>, tf array<int>"
 )
 
@@ -326,7 +326,7 @@ def score_texts(
     scratch = Scratch(spark, "hmm")
     key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     rows = docs.select(
-        F.col(id_col).cast("long").alias("id"),
+        text_id(id_col),
         (F.crc32(key) % 10 == 0).alias("held_out"),
         F.col(text_col).cast("string").alias("text"),
     )
@@ -379,7 +379,7 @@ def score_texts(
         )
     )
     schema = (
-        "rid long, id long, held_out boolean, n_tokens long, head_sum double, "
+        "rid long, id string, held_out boolean, n_tokens long, head_sum double, "
         "head_known long, symbols double"
     )
     scored = encoded.drop("tail", "tf").mapInPandas(
@@ -389,7 +389,7 @@ def score_texts(
     known = F.col("head_known") + F.coalesce("tail_known", F.lit(0))
     per_token = float(np.log10(total + ADD * (distinct + 1)))
     return scored.join(tails, "rid", "left").select(
-        "id",
+        F.col("id").cast("long").alias("id"),
         "held_out",
         "n_tokens",
         known.cast("long").alias("n_known"),

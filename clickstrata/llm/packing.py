@@ -23,18 +23,19 @@ from __future__ import annotations
 import hashlib
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickstrata.llm.common import Scratch, folded
+from clickstrata.llm.common import Scratch, folded, text_id
 
 CAPACITY = 2048
 SHARD = 8192
 
 SCHEMA = (
-    "id long, source string, piece int, start long, length int, "
+    "id string, source string, piece int, start long, length int, "
     "shard long, bin int, position int"
 )
 
@@ -92,8 +93,11 @@ def best_fit(pieces: list[tuple[int, object, object]], capacity: int) -> list[tu
 
 def _pack_shard(capacity: int):
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        rows["no_id"] = rows["id"].isna()
+        rows["number"] = np.array([int(i or 0) for i in rows["id"].where(~rows["no_id"], None)], np.int64)
         rows = rows.sort_values(
-            ["length", "id", "piece", "cluster"], ascending=[False, True, True, True]
+            ["length", "no_id", "number", "piece", "cluster"],
+            ascending=[False, True, True, True, True],
         )
         source = rows["source"].where(rows["source"].notna(), None)
         placed = best_fit(
@@ -101,7 +105,7 @@ def _pack_shard(capacity: int):
         )
         rows["bin"] = [b for b, _ in placed]
         rows["position"] = [p for _, p in placed]
-        return rows.drop(columns="cluster")
+        return rows.drop(columns=["cluster", "no_id", "number"])
 
     return pack
 
@@ -129,6 +133,7 @@ def pack(
         .withColumn(
             "shard", F.pmod(F.xxhash64("id", "cluster", "piece"), F.lit(shards)).cast("long")
         )
-        .select("id", "source", "piece", "start", "length", "shard", "cluster")
+        .select(text_id("id"), "source", "piece", "start", "length", "shard", "cluster")
     )
-    return pieces.groupBy("shard").applyInPandas(_pack_shard(capacity), SCHEMA)
+    packed = pieces.groupBy("shard").applyInPandas(_pack_shard(capacity), SCHEMA)
+    return packed.withColumn("id", F.col("id").cast("long"))

@@ -24,7 +24,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickstrata.llm.common import small_batches, worker_store
+from clickstrata.llm.common import small_batches, text_id, worker_store
 
 # The word mark, the penalty of unknown characters, the white space.
 MARK = "▁"
@@ -107,7 +107,8 @@ def count_pieces(
 
     small_batches(docs.sparkSession)
     rows = docs.select(
-        F.col(id_col).cast("long").alias("id"),
+        text_id(id_col),
         F.col(text_col).cast("string").alias("text"),
     )
-    return rows.mapInPandas(count, "id long, n_pieces long, best_score double")
+    counted = rows.mapInPandas(count, "id string, n_pieces long, best_score double")
+    return counted.withColumn("id", F.col("id").cast("long"))

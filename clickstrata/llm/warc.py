@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstrata.llm.common import Scratch, file_uri, read_bytes, write_bytes
+from clickstrata.llm.common import Scratch, file_uri, read_bytes, text_id, write_bytes
 
 FILE_RECORDS = 4096
 FILE_BYTES = 16 << 20
@@ -81,7 +81,8 @@ def _writer(root: str):
                 rows,
                 columns=["page_id", "record", "offset", "length", *INDEX_PAYLOAD],
             )
-            frame["page_id"] = frame["page_id"].astype("Int64")
+            # Read again from the rows: beside a null the frame holds ids as doubles.
+            frame["page_id"] = pd.array([row[0] for row in rows], dtype="Int64")
             frame["file_no"], frame["file"] = number, name
             return frame[[part.split()[0] for part in INDEX.split(", ")]]
 
@@ -121,6 +122,7 @@ def write_warc(pages: DataFrame, root: str) -> DataFrame:
     return (
         rows.repartitionByRange(*order)
         .sortWithinPartitions(*order, "url", "html")
+        .select(text_id("id"), "url", "html")
         .mapInPandas(_writer(root), INDEX)
     )
 

@@ -42,6 +42,7 @@ from clickstrata.llm.common import (
     Scratch,
     file_uri,
     folded,
+    text_id,
     worker_store,
     write_bytes,
 )
@@ -337,6 +338,7 @@ def write_ids(
     return (
         rows.repartitionByRange(F.col("id").asc_nulls_first())
         .sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
+        .select(text_id("id"), "text")
         .mapInPandas(
             _writer(tokenizer, root, shard_tokens),
             "file string, part int, seq int, n_tokens long",
@@ -356,7 +358,7 @@ def _read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 {
                     "file": path.rpartition("/")[2],
                     "id": pd.array(np.where(nulls, 0, ids), dtype="Int64"),
-                    "null": nulls,
+                    "no_id": nulls,
                     "first": starts,
                     "n_tokens": ends - starts,
                     "ids_crc32": crc,
@@ -376,10 +378,10 @@ def read_documents(spark: SparkSession, root: str, shards: DataFrame) -> DataFra
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wvm").load(root)
     decoded = files.select("path", "content").mapInPandas(
         _read,
-        "file string, id long, null boolean, first long, n_tokens long, ids_crc32 long",
+        "file string, id long, no_id boolean, first long, n_tokens long, ids_crc32 long",
     )
     return decoded.join(starts, "file").select(
-        F.expr("if(null, cast(null as long), id)").alias("id"),
+        F.when(~F.col("no_id"), F.col("id")).alias("id"),
         (F.col("base") + F.col("first")).alias("start"),
         "n_tokens",
         "ids_crc32",
