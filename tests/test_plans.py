@@ -9,7 +9,7 @@ import pytest
 from hand_rows import plan_of
 from pyspark.sql import functions as F
 
-from clickstrata.operators import experiments, quality_alerts, reporting, validation
+from clickstrata.operators import audit, experiments, quality_alerts, reporting, validation
 from clickstrata.plans.jobs import Jobs
 from clickstrata.schemas import TABLES
 
@@ -186,3 +186,18 @@ def test_hot_request_is_summed_before_the_experiment_join(spark, lopsided):
     served = sum(1 for n in range(ROWS) if n % 3 == 0 or (n % 3 == 2 and n % 1000 % 2 == 0))
     assert result["impressions"] + result["clicks"] == served
     assert result["ad_requests"] == 501
+
+
+def test_the_audit_scans_each_table_once_and_counts_all_keys_at_once(spark, stored):
+    tables = {"ad_requests": stored["ad_requests"], "campaigns": stored["campaigns"]}
+    tables["events_raw"] = stored["events_raw"]
+    plan = plan_of(audit.constraint_audit(tables))
+    assert plan.count("/events_raw]") == 1 and plan.count("/ad_requests]") == 1
+    assert plan.count("hashpartitioning(subject") == 1
+
+
+def test_keys_of_several_columns_and_nulls_stay_apart(spark):
+    rows = spark.createDataFrame(
+        [("a:1", "b"), ("a", "1:b"), ("a", None), ("a", ""), ("a", None)], "x string, y string"
+    )
+    assert rows.select(audit._text(("x", "y"))).distinct().count() == 4
