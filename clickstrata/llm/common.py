@@ -6,6 +6,8 @@ import re
 import sys
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from types import ModuleType
 
 from pyarrow import fs
@@ -41,17 +43,28 @@ def text_id(column: str) -> Column:
 
 
 def with_row_key(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows with ``row``, a key that only rows equal in all columns share."""
-    parts = [x for c in docs.columns for x in (F.col(c), F.isnull(c))]
+    """(doc, row): each row as one struct, with a key that only equal rows share.
+
+    Inside the struct no column of the documents can clash with one of an operator.
+    """
+    named = [F.col(f"`{c}`") for c in docs.columns]
+    parts = [x for c in named for x in (c, F.isnull(c))]
     body = F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    return docs.withColumn("row", F.concat(body, F.hex(F.xxhash64(*parts))))
+    return docs.select(
+        F.struct(*named).alias("doc"), F.concat(body, F.hex(F.xxhash64(*parts))).alias("row")
+    )
+
+
+def fields(keyed: DataFrame, *names: str) -> DataFrame:
+    """The row key and these columns of the documents."""
+    return keyed.select("row", *[F.col(f"doc.{c}").alias(c) for c in names])
 
 
 def without_rows(keyed: DataFrame, gone: DataFrame, twins: DataFrame) -> DataFrame:
-    """The keyed rows less those ``gone`` and all but one of the equal rows ``twins``."""
+    """The documents less those ``gone`` and all but one of the equal rows ``twins``."""
     rest = keyed.join(gone.union(twins), "row", "left_anti")
     one = keyed.join(twins, "row", "left_semi").dropDuplicates(["row"])
-    return rest.unionByName(one).drop("row")
+    return rest.unionByName(one).select("doc.*")
 
 
 def word_count(text: Column) -> Column:
@@ -84,6 +97,33 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/") + "/clickstrata-llm"
 
 
+# Tells Spark to remove a query's shuffle files as soon as the query ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_passing: ContextVar[tuple[list[Scratch], ...]] = ContextVar("passing", default=())
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """What operators store and shuffle inside the block is removed with it.
+
+    For callers that store what they need in a ``Scratch`` made before the block.
+    """
+    made: list[Scratch] = []
+    token = _passing.set((*_passing.get(), made))
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+        _passing.reset(token)
+        for scratch in made:
+            scratch.drop("")
+
+
 class Scratch:
     """Intermediate Parquet tables of one operator call.
 
@@ -96,6 +136,8 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = small_batches(spark)
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        for made in _passing.get():
+            made.append(self)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickstrata.llm.common import Scratch, folded, with_row_key, without_rows
+from clickstrata.llm.common import Scratch, fields, folded, passing, with_row_key, without_rows
 
 SALTS = 8
 
@@ -106,14 +106,19 @@ def exact_dedup(
 
 def without_copies(docs: DataFrame, keep: str = "smallest") -> DataFrame:
     """One row of each group of equal texts, with all its columns."""
-    scratch = Scratch(docs.sparkSession, "exact-dedup")
+    spark = docs.sparkSession
+    kept = Scratch(spark, "exact-dedup")
     keyed = with_row_key(docs)
-    decided = exact_dedup(keyed, keep=keep, carry=("row",)).filter("group_size > 1")
-    decided = scratch.store(decided.select("text_sha256", "kept", "row"), "decided")
-    best = decided.filter("kept").groupBy("text_sha256").agg(F.min("row").alias("best"))
-    best = scratch.store(best, "best")
-    gone = decided.join(best, "text_sha256").filter("row != best").select("row")
-    gone = scratch.store(gone.distinct(), "gone")
-    twins = decided.join(best.select(F.col("best").alias("row")), "row", "left_semi")
-    twins = twins.groupBy("row").count().filter("count > 1").select("row")
-    return without_rows(keyed, gone, scratch.store(twins, "twins"))
+    with passing(spark):
+        scratch = Scratch(spark, "exact-dedup-rows")
+        rows = fields(keyed, "doc_id", "text")
+        decided = exact_dedup(rows, keep=keep, carry=("row",)).filter("group_size > 1")
+        decided = scratch.store(decided.select("text_sha256", "kept", "row"), "decided")
+        best = decided.filter("kept").groupBy("text_sha256").agg(F.min("row").alias("best"))
+        best = scratch.store(best, "best")
+        gone = decided.join(best, "text_sha256").filter("row != best").select("row")
+        gone = kept.store(gone.distinct(), "gone")
+        twins = decided.join(best.select(F.col("best").alias("row")), "row", "left_semi")
+        twins = twins.groupBy("row").count().filter("count > 1").select("row")
+        twins = kept.store(twins, "twins")
+    return without_rows(keyed, gone, twins)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clickstrata.llm.common import Scratch, with_row_key, word_count
+from clickstrata.llm.common import Scratch, fields, passing, with_row_key, word_count
 
 # The weights by order of sources, and the most passes.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -152,18 +152,19 @@ def mixed(docs: DataFrame) -> DataFrame:
     least half of it lies within the budget; texts are never cut.  Rows equal in all
     columns can't be told apart: one of them stands for the copies of all.
     """
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "mixing")
     keyed = with_row_key(docs)
     copies = F.expr("cast(floor(taken / size + 0.5) as int)")
-    taken = mix(keyed, carry=("row",)).filter("size > 0").withColumn("copies", copies)
-    taken = taken.groupBy("row").agg(
-        F.sum("copies").cast("int").alias("n"), F.count(F.lit(1)).alias("rows")
-    )
-    scratch = Scratch(docs.sparkSession, "mixing")
-    chosen = scratch.store(taken.filter("n > 0"), "chosen")
+    with passing(spark):
+        taken = mix(fields(keyed, "doc_id", "text", "source"), carry=("row",))
+        taken = taken.filter("size > 0").withColumn("copies", copies).groupBy("row")
+        taken = taken.agg(F.sum("copies").cast("int").alias("n"), F.count(F.lit(1)).alias("rows"))
+        chosen = scratch.store(taken.filter("n > 0"), "chosen")
     single = keyed.join(chosen.filter("rows = 1").select("row", "n"), "row")
     twins = chosen.filter("rows > 1").select("row", "n")
     equal = keyed.join(twins, "row").dropDuplicates(["row"])
     passes = single.unionByName(equal).withColumn(
         "pass", F.explode(F.sequence(F.lit(1), F.col("n")))
     )
-    return passes.select(*docs.columns)
+    return passes.select("doc.*")

@@ -20,14 +20,22 @@ components.
 
 ``near_duplicates`` links documents whose five-word shingles have a Jaccard
 similarity of at least 0.8, and loses none of these links.  Equal sets of
-shingles are one node.  A first round checks close fingerprints of the distinct
-words, each node against its closest candidates inside one block only; this is
-no more than a cheap way to join large groups early.  The second round is exact:
-the shingles of a set are put in one order for all sets, rare ones first, and two
-sets as similar as that must share one of the first ``prefix_length``.  Pairs
-that share one, that the first round left in different components and that pass
-the bounds by size and position are checked.  Which shingles count as common is
-taken from a sample; it decides how many pairs are checked, not which are found.
+shingles are one node.  The shingles of a set are put in one order for all sets,
+rare ones first; two sets as similar as that must share one of the first
+``prefix_length``.  Only nodes with such a shared shingle, and only their shared
+shingles, go on.  Three kinds of rounds follow, each of which checks its pairs
+exactly and joins what is linked into one part:
+
+1. close fingerprints of the distinct words, each node against its closest
+   candidates inside one block;
+2. ``STARS`` times, each node against a hub of the largest part that shares a
+   shingle with it: as many pairs as nodes, however large a group is;
+3. all pairs that share a shingle, are in different parts by then and pass the
+   bounds by size and position.
+
+The first two join large groups with few pairs, the last one is exact.  Which
+shingles count as common is taken from a sample; it decides how many pairs are
+checked, not which are found.
 
 Defined results: a null text counts as empty; a text of fewer words than a
 shingle is one shingle; a text without words has fingerprint zero (in
@@ -50,10 +58,11 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickstrata.llm.common import Scratch, with_row_key, without_rows, words
+from clickstrata.llm.common import Scratch, fields, passing, with_row_key, without_rows, words
 from clickstrata.llm.components import connected_components
 
 BITS = 64
@@ -61,6 +70,8 @@ BLOCK = 512  # most rows of a bucket that one group takes from each side
 PAIRS = 200_000  # pairs that are followed at once
 MEMBER = ("fp", "node", "block")
 CLOSEST = 3  # candidates of a document in the first round, for each key
+STARS = 2  # rounds of nodes against hubs
+HUBS = 2  # hubs that a node is checked against in such a round
 SAMPLE = 16  # one document in so many is read to find common shingles
 COMMON = 3  # documents of the sample that make a shingle common
 MOST_COMMON = 500_000  # common shingles that are sent to the workers at most
@@ -429,73 +440,130 @@ def _sharing_pairs(similarity: float):
     return pairs
 
 
-def sharing_pairs(nodes: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
-    """All pairs (a, b) of nodes (node, part, size, prefix) that may be similar.
+def sharing_pairs(entries: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) across parts that share a shingle and may be similar.
 
-    Pairs inside one part are left out.
+    Entries are (shingle, node, at, size, part) of shingles that several parts hold.
     """
-    entries = nodes.select(
-        "node", "part", "size", F.posexplode("prefix").alias("at", "shingle")
-    )
-    shared = entries.groupBy("shingle").agg(
-        F.count(F.lit(1)).alias("n"), F.min("part").alias("p"), F.max("part").alias("q")
-    )
-    shared = scratch.store(shared.filter("p < q").select("shingle", "n"), "shared")
+    shared = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
     cells = _cells(entries.join(shared, "shingle"), ["shingle"], SHARING, True)
     cells = cells.select("lo", "hi", *SHARING)
     return cells.mapInPandas(_sharing_pairs(similarity), "a long, b long").distinct()
 
 
+def across_parts(entries: DataFrame, turn: int) -> DataFrame:
+    """The entries of shingles that several parts hold, with a hub of the largest one.
+
+    Hubs change with the turn: (shingle, node, at, size, part, top_part, hub, hub_at,
+    hub_size).
+    """
+    draw = F.xxhash64("node", F.lit(turn))
+    held = entries.groupBy("shingle", "part").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.min_by(c, draw).alias(f"hub_{c}") for c in ("node", "at", "size")],
+    )
+    top = F.max(F.struct("n", F.col("part").alias("top_part"), "hub_node", "hub_at", "hub_size"))
+    hubs = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("parts"), top.alias("top"))
+    hubs = hubs.filter("parts > 1").select("shingle", "top.*").drop("n")
+    return entries.join(hubs.withColumnRenamed("hub_node", "hub"), "shingle")
+
+
+def star_pairs(entries: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of a node with the hubs of other parts that share most with it."""
+    both = F.col("size") + F.col("hub_size")
+    rest = F.least(F.col("size") - F.col("at"), F.col("hub_size") - F.col("hub_at"))
+    least, most = F.least("size", "hub_size"), F.greatest("size", "hub_size")
+    votes = (
+        entries.filter("part != top_part")
+        .filter(least >= similarity * most - EPS)
+        .groupBy("node", "hub")
+        # What follows their first shared shingle bounds what they share.
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.max(rest - similarity / (1 + similarity) * both).alias("slack"),
+        )
+        .filter(F.col("slack") >= -EPS)
+    )
+    order = W.partitionBy("node").orderBy(F.desc("n"), "hub")
+    chosen = votes.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= HUBS)
+    return chosen.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+
+
 def near_groups(
     rows: DataFrame, scratch: Scratch, tau: int = 7, similarity: float = 0.8
 ) -> DataFrame:
     """(id, row, group) of rows (id, row, text); near copies are in one group.
 
-    Rows of equal ``row`` must have equal texts.
+    Rows of equal ``row`` must have equal texts.  What is stored on the way goes as
+    soon as it has been read.
     """
     spark = rows.sparkSession
+    keyed = rows.withColumn("key", F.concat("row", F.coalesce(F.col("id").cast("string"), F.lit("-"))))
     common = common_shingles(rows, scratch)
     signature = _signatures(spark, common, similarity)
-    prints = rows.select("id", "row", signature("text").alias("s"))
-    prints = scratch.store(prints.select("id", "row", "s.*"), "prints")
+    prints = keyed.select("id", "row", "key", signature("text").alias("s"))
+    prints = scratch.store(prints.select("id", "row", "key", "s.*"), "prints")
+    scratch.drop("common")
     # Numbered once and stored: a node is a set of shingles.
     nodes = prints.groupBy("digest").agg(
-        *[F.min(c).alias(c) for c in ("fp", "size", "prefix", "row")]
+        *[F.min(c).alias(c) for c in ("fp", "size", "prefix", "key")]
     )
     nodes = nodes.withColumn("node", F.monotonically_increasing_id())
     nodes = scratch.store(nodes, "nodes")
+    members = prints.select("id", "row", "digest").join(nodes.select("digest", "node"), "digest")
+    members = scratch.store(members.drop("digest"), "members")
+    scratch.drop("prints")
+
+    entries = nodes.select("node", F.posexplode("prefix").alias("at", "shingle"))
+    shared = entries.groupBy("shingle").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    shared = scratch.store(shared.filter("n > 1").select("shingle"), "shared")
+    entries = scratch.store(entries.join(shared, "shingle", "left_semi"), "entries-0")
+    ends = scratch.store(entries.select("node").distinct(), "ends")
+    ends = nodes.select("node", "key", "fp", "size").join(ends, "node")
+    ends = scratch.store(ends, "candidates")
+    scratch.drop("nodes", "shared", "ends")
+    texts = keyed.select("key", "text").join(ends.select("key", "node"), "key")
+    texts = texts.dropDuplicates(["key"]).select("node", _shingle_set("text").alias("set"))
+    sets = scratch.store(texts, "sets")
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         pairs = scratch.store(pairs, f"{name}-pairs")
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        ends = scratch.store(nodes.join(ends, "node").select("node", "row"), f"{name}-ends")
-        sets = rows.select("row", "text").join(ends, "row")
-        sets = sets.select("node", _shingle_set("text").alias("set"))
-        sets = scratch.store(sets, f"{name}-sets").groupBy("node").agg(F.min("set"))
-        sizes = F.octet_length("x") / F.octet_length("y")
-        return scratch.store(
+        found = scratch.store(
             pairs.join(sets.toDF("a", "x"), "a")
             .join(sets.toDF("b", "y"), "b")
-            .filter(sizes.between(similarity - EPS, 1 / similarity + EPS))
             .filter(_jaccard("x", "y") >= similarity)
             .select("a", "b"),
             name,
         )
+        scratch.drop(f"{name}-pairs")
+        return found
 
-    near = close_pairs(nodes.select("node", "fp"), tau, "closest", nodes.count())
-    near = confirmed(near, "near")
-    rooted = scratch.store(connected_components(near), "rooted")
-    parts = nodes.join(rooted, "node", "left").select(
-        "node", "size", "prefix", F.coalesce("root", "node").alias("part")
-    )
-    rest = confirmed(sharing_pairs(parts, similarity, scratch), "rest")
-    rooted = connected_components(near.union(rest))
-    named = nodes.select("node", "digest").join(rooted, "node", "left")
-    named = named.select("digest", F.coalesce("root", "node").alias("group"))
-    named = scratch.store(named, "named")
-    return scratch.store(
-        prints.select("id", "row", "digest").join(named, "digest").drop("digest"), "groups"
+    def parts_of(links: DataFrame, name: str) -> DataFrame:
+        return scratch.store(connected_components(links), name)
+
+    sizes = ends.select("node", "size")
+    near = close_pairs(ends.select("node", "fp"), tau, "closest", ends.count())
+    near = near.join(sizes.toDF("a", "x"), "a").join(sizes.toDF("b", "y"), "b").filter(
+        F.least("x", "y") >= similarity * F.greatest("x", "y") - EPS
     )
+    links = confirmed(near.select("a", "b"), "near")
+    own = F.coalesce("root", "node").alias("part")
+    entries = entries.join(sizes, "node")
+    columns = ["shingle", "node", "at", "size"]
+    for turn in range(STARS + 1):
+        rooted = parts_of(links, f"rooted-{turn}")
+        placed = entries.join(rooted, "node", "left").select(*columns, own)
+        placed = scratch.store(placed, f"placed-{turn}")
+        spread = scratch.store(across_parts(placed, turn), f"entries-{turn + 1}")
+        scratch.drop(f"rooted-{turn}", f"placed-{turn}", f"entries-{turn}")
+        if turn < STARS:
+            links = links.union(confirmed(star_pairs(spread, similarity), f"star-{turn}"))
+        entries = spread.select(*columns)
+    links = links.union(confirmed(sharing_pairs(spread.select(*columns, "part"), similarity), "rest"))
+    rooted = parts_of(links, "rooted")
+    group = F.coalesce("root", "node").alias("group")
+    groups = members.join(rooted, "node", "left").select("id", "row", group)
+    return scratch.store(groups, "groups")
 
 
 def near_duplicates(
@@ -506,34 +574,43 @@ def near_duplicates(
     text_col: str = "text",
 ) -> DataFrame:
     """(id, component_id) of documents that have a near copy."""
-    scratch = Scratch(docs.sparkSession, "near-duplicates")
+    spark = docs.sparkSession
+    kept = Scratch(spark, "near-duplicates")
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("row"),
         F.col(text_col).cast("string").alias("text"),
     ).filter("id is not null")
-    found = near_groups(rows, scratch, tau, similarity).select("id", "group")
-    least = found.groupBy("group").agg(F.min("id").alias("component_id"), F.max("id").alias("m"))
-    least = scratch.store(least.filter("component_id < m").drop("m"), "least")
-    return found.join(least, "group").select("id", "component_id").distinct()
+    with passing(spark):
+        scratch = Scratch(spark, "near-duplicates-rows")
+        found = near_groups(rows, scratch, tau, similarity).select("id", "group")
+        least = found.groupBy("group").agg(
+            F.min("id").alias("component_id"), F.max("id").alias("m")
+        )
+        least = least.filter("component_id < m").drop("m")
+        named = found.join(least, "group").select("id", "component_id").distinct()
+        return kept.store(named, "named")
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
     """One row of each group of near copies: that with the smallest id, nulls last."""
-    scratch = Scratch(docs.sparkSession, "near-duplicates")
+    spark = docs.sparkSession
+    kept = Scratch(spark, "near-duplicates")
     keyed = with_row_key(docs)
-    rows = keyed.select(
-        F.col("doc_id").cast("long").alias("id"), "row", F.col("text").cast("string")
-    )
-    found = near_groups(rows, scratch)
-    order = F.struct(F.isnull("id"), "id", "row")
-    best = found.groupBy("group").agg(
-        F.min(order).alias("best"), F.count(F.lit(1)).alias("n")
-    )
-    best = scratch.store(best.filter("n > 1").select("group", "best.row"), "best")
-    several = found.join(best.withColumnRenamed("row", "best"), "group")
-    gone = several.filter("row != best").select("row").distinct()
-    twins = several.filter("row = best").groupBy("row").count().filter("count > 1")
-    return without_rows(
-        keyed, scratch.store(gone, "gone"), scratch.store(twins.select("row"), "twins")
-    )
+    with passing(spark):
+        scratch = Scratch(spark, "near-duplicates-rows")
+        rows = fields(keyed, "doc_id", "text").select(
+            F.col("doc_id").cast("long").alias("id"), "row", F.col("text").cast("string")
+        )
+        found = near_groups(rows, scratch)
+        order = F.struct(F.isnull("id"), "id", "row")
+        best = found.groupBy("group").agg(
+            F.min(order).alias("best"), F.count(F.lit(1)).alias("n")
+        )
+        best = scratch.store(best.filter("n > 1").select("group", "best.row"), "best")
+        several = found.join(best.withColumnRenamed("row", "best"), "group")
+        gone = several.filter("row != best").select("row").distinct()
+        twins = several.filter("row = best").groupBy("row").count().filter("count > 1")
+        gone = kept.store(gone, "gone")
+        twins = kept.store(twins.select("row"), "twins")
+    return without_rows(keyed, gone, twins)
