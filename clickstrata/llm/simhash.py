@@ -33,6 +33,9 @@ exactly and joins what is linked into one part:
 3. all pairs that share a shingle, are in different parts by then and pass the
    bounds by size and position.
 
+Before texts are read again, a pair must pass a bound from sketches: with shingles
+counted by hash slot, two sets share at most the sum of the lesser counts.
+
 The first two join large groups with few pairs, the last one is exact.  Which
 shingles count as common is taken from a sample; it decides how many pairs are
 checked, not which are found.
@@ -70,7 +73,8 @@ BLOCK = 512  # most rows of a bucket that one group takes from each side
 PAIRS = 200_000  # pairs that are followed at once
 MEMBER = ("fp", "node", "block")
 CLOSEST = 3  # candidates of a document in the first round, for each key
-STARS = 2  # rounds of nodes against hubs
+SLOTS = 256  # slots of a set's sketch, one byte each
+STARS = 1  # rounds of nodes against hubs
 HUBS = 2  # hubs that a node is checked against in such a round
 SAMPLE = 16  # one document in so many is read to find common shingles
 COMMON = 3  # documents of the sample that make a shingle common
@@ -354,6 +358,29 @@ def _jaccard(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([of(a, b) for a, b in zip(left, right, strict=True)])
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """How many shingles of a set fall into each slot; 255 stands for any more."""
+    counts = np.bincount((found % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def may_be_similar(x: bytes, y: bytes, sizes: int, similarity: float) -> bool:
+    """False only if the sketches of two sets, ``sizes`` in all, rule it out."""
+    both = np.minimum(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8))
+    if both.max() == 255:  # counts that aren't known
+        return True
+    return int(both.sum(dtype=np.int64)) >= similarity / (1 + similarity) * sizes - EPS
+
+
+def _may_be_similar(similarity: float):
+    @F.pandas_udf(T.BooleanType())
+    def passes(x: pd.Series, y: pd.Series, sizes: pd.Series) -> pd.Series:
+        pairs = zip(x, y, sizes, strict=True)
+        return pd.Series([may_be_similar(*pair, similarity) for pair in pairs], dtype=bool)
+
+    return passes
+
+
 def prefix_length(size: int, similarity: float) -> int:
     """Shingles of which a set shares one with each set as similar as that."""
     return size - math.ceil(similarity * size - EPS) + 1
@@ -391,7 +418,7 @@ def common_shingles(texts: DataFrame, scratch: Scratch) -> tuple[np.ndarray, np.
 def _signatures(spark, common: tuple[np.ndarray, np.ndarray], similarity: float):
     shared = spark.sparkContext.broadcast(common)
 
-    @F.pandas_udf("fp long, digest binary, size int, prefix array<long>")
+    @F.pandas_udf("fp long, digest binary, size int, sketch binary, prefix array<long>")
     def signature(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for text in texts:
@@ -401,10 +428,11 @@ def _signatures(spark, common: tuple[np.ndarray, np.ndarray], similarity: float)
                     majority(hashes(list(set(words(text))))),
                     hashlib.md5(found.tobytes()).digest(),
                     len(found),
+                    sketch(found),
                     prefix(found, *shared.value, similarity).view(np.int64),
                 )
             )
-        return pd.DataFrame(rows, columns=["fp", "digest", "size", "prefix"])
+        return pd.DataFrame(rows, columns=["fp", "digest", "size", "sketch", "prefix"])
 
     return signature
 
@@ -506,7 +534,7 @@ def near_groups(
     scratch.drop("common")
     # Numbered once and stored: a node is a set of shingles.
     nodes = prints.groupBy("digest").agg(
-        *[F.min(c).alias(c) for c in ("fp", "size", "prefix", "key")]
+        *[F.min(c).alias(c) for c in ("fp", "size", "sketch", "prefix", "key")]
     )
     nodes = nodes.withColumn("node", F.monotonically_increasing_id())
     nodes = scratch.store(nodes, "nodes")
@@ -518,16 +546,25 @@ def near_groups(
     shared = entries.groupBy("shingle").agg(F.count(F.lit(1)).cast("int").alias("n"))
     shared = scratch.store(shared.filter("n > 1").select("shingle"), "shared")
     entries = scratch.store(entries.join(shared, "shingle", "left_semi"), "entries-0")
-    ends = scratch.store(entries.select("node").distinct(), "ends")
-    ends = nodes.select("node", "key", "fp", "size").join(ends, "node")
-    ends = scratch.store(ends, "candidates")
-    scratch.drop("nodes", "shared", "ends")
-    texts = keyed.select("key", "text").join(ends.select("key", "node"), "key")
-    texts = texts.dropDuplicates(["key"]).select("node", _shingle_set("text").alias("set"))
-    sets = scratch.store(texts, "sets")
+    sharing = scratch.store(entries.select("node").distinct(), "sharing")
+    candidates = nodes.select("node", "key", "fp", "size", "sketch").join(sharing, "node")
+    candidates = scratch.store(candidates, "candidates")
+    scratch.drop("nodes", "shared", "sharing")
+    sizes = candidates.select("node", "size")
+    sketches = candidates.select("node", "size", "sketch")
+    possible = _may_be_similar(similarity)
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = pairs.join(sketches.toDF("a", "m", "x"), "a").join(sketches.toDF("b", "n", "y"), "b")
+        least, most = F.least("m", "n"), F.greatest("m", "n")
+        pairs = pairs.filter(least >= similarity * most - EPS)
+        pairs = pairs.filter(possible("x", "y", F.col("m") + F.col("n"))).select("a", "b")
         pairs = scratch.store(pairs, f"{name}-pairs")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        ends = scratch.store(candidates.select("node", "key").join(ends, "node"), f"{name}-ends")
+        texts = keyed.select("key", "text").join(ends, "key").dropDuplicates(["key"])
+        sets = texts.select("node", _shingle_set("text").alias("set"))
+        sets = scratch.store(sets, f"{name}-sets")
         found = scratch.store(
             pairs.join(sets.toDF("a", "x"), "a")
             .join(sets.toDF("b", "y"), "b")
@@ -535,18 +572,14 @@ def near_groups(
             .select("a", "b"),
             name,
         )
-        scratch.drop(f"{name}-pairs")
+        scratch.drop(f"{name}-pairs", f"{name}-ends", f"{name}-sets")
         return found
 
     def parts_of(links: DataFrame, name: str) -> DataFrame:
         return scratch.store(connected_components(links), name)
 
-    sizes = ends.select("node", "size")
-    near = close_pairs(ends.select("node", "fp"), tau, "closest", ends.count())
-    near = near.join(sizes.toDF("a", "x"), "a").join(sizes.toDF("b", "y"), "b").filter(
-        F.least("x", "y") >= similarity * F.greatest("x", "y") - EPS
-    )
-    links = confirmed(near.select("a", "b"), "near")
+    prints = candidates.select("node", "fp")
+    links = confirmed(close_pairs(prints, tau, "closest", candidates.count()), "near")
     own = F.coalesce("root", "node").alias("part")
     entries = entries.join(sizes, "node")
     columns = ["shingle", "node", "at", "size"]
