@@ -28,15 +28,16 @@ exactly and joins what is linked into one part:
 
 1. close fingerprints of the distinct words, each node against its closest
    candidates inside one block;
-2. ``STARS`` times, each node against a hub of the largest part that shares a
-   shingle with it: as many pairs as nodes, however large a group is;
+2. ``STARS`` times, each node against ``HUBS`` hubs of the largest parts that share
+   a shingle with it, so at most ``HUBS`` pairs a node;
 3. all pairs that share a shingle, are in different parts by then and pass the
    bounds by size and position.
 
 Before texts are read again, a pair must pass a bound from sketches: with shingles
 counted by hash slot, two sets share at most the sum of the lesser counts.
 
-The first two join large groups with few pairs, the last one is exact.  Which
+The first two join most of a large group with few pairs, the last one is exact; the
+pairs it makes grow with those left apart times the size of the group.  Which
 shingles count as common is taken from a sample; it decides how many pairs are
 checked, not which are found.
 
