@@ -136,58 +136,70 @@ class Packed:
         self.order = np.argsort(-lengths, kind="stable")
         lengths = lengths[self.order]
         flat = np.concatenate([sequences[i] for i in self.order])
-        step = np.concatenate([np.arange(n) for n in lengths])
-        by_step = np.argsort(step, kind="stable")
-        self.symbols = flat[by_step].astype(np.int64)
-        self.sequence = np.repeat(np.arange(len(lengths)), lengths)[by_step]
-        self.active = np.bincount(step)
+        self.first = np.concatenate([[0], np.cumsum(lengths[:-1])])
+        # How many sequences are longer than t, for each step t.
+        ended = np.cumsum(np.bincount(lengths))[:-1]
+        self.active = len(lengths) - ended
         self.start = np.concatenate([[0], np.cumsum(self.active)])
+        step = np.arange(len(flat)) - np.repeat(self.first, lengths)
+        # Sequences are sorted by length, so each step holds a prefix of them.
+        self.place = self.start[step] + np.repeat(np.arange(len(lengths)), lengths)
+        self.symbols = np.empty(len(flat), dtype=np.int64)
+        self.symbols[self.place] = flat
 
     def forward(self, pi, move, emit) -> tuple[np.ndarray, np.ndarray]:
         """Scaled state probabilities and scales, by position."""
-        alpha = emit[self.symbols]
-        scale = np.empty(len(alpha))
-        for t, n in enumerate(self.active):
-            now = slice(self.start[t], self.start[t] + n)
-            if t:
-                before = self.start[t - 1]
-                alpha[now] *= alpha[before : before + n] @ move
-            else:
-                alpha[now] *= pi
-            scale[now] = alpha[now].sum(axis=1)
-            alpha[now] /= scale[now, None]
+        return self._forward(pi, move, emit.take(self.symbols, axis=0))
+
+    def _forward(self, pi, move, alpha) -> tuple[np.ndarray, np.ndarray]:
+        """The recursion, in place over the emission probabilities ``alpha``."""
+        scale = np.empty(len(alpha), dtype=alpha.dtype)
+        ones = np.ones(alpha.shape[1], dtype=alpha.dtype)
+        before = None
+        starts = self.start.tolist()
+        for begin, end in zip(starts, starts[1:], strict=False):
+            now = alpha[begin:end]
+            now *= pi if before is None else before[: end - begin] @ move
+            total = now @ ones
+            now /= total[:, None]
+            scale[begin:end] = total
+            before = now
         return alpha, scale
 
     def log10(self, scale: np.ndarray) -> np.ndarray:
         """Log likelihoods in the order in which the sequences were given."""
-        total = np.bincount(self.sequence, weights=np.log10(scale))
-        result = np.empty(len(total))
-        result[self.order] = total
+        result = np.empty(len(self.first))
+        result[self.order] = np.add.reduceat(np.log10(scale)[self.place], self.first)
         return result
 
     def expected(self, pi, move, emit, n_symbols: int):
-        """Expected first states, moves, and emissions (states x symbols)."""
-        alpha, scale = self.forward(pi, move, emit)
+        """Expected first states, moves, and emissions (states x symbols).
+
+        In the precision of ``emit``; sums over symbols are in doubles.
+        """
+        ahead = emit.take(self.symbols, axis=0)
+        alpha, scale = self._forward(pi, move, ahead.copy())
+        ahead /= scale[:, None]  # becomes emission * beta / scale
         beta = np.ones_like(alpha)
-        ahead = emit[self.symbols] / scale[:, None]  # becomes emission * beta / scale
-        for t in range(len(self.active) - 2, -1, -1):
-            n = self.active[t + 1]
-            after = slice(self.start[t + 1], self.start[t + 1] + n)
-            ahead[after] *= beta[after]
-            beta[self.start[t] : self.start[t] + n] = ahead[after] @ move.T
-        first = self.active[0]
-        later = np.arange(first, len(alpha))
-        steps = np.repeat(np.arange(len(self.active)), self.active)[later]
-        previous = self.start[steps - 1] + (later - self.start[steps])
-        moves = move * (alpha[previous].T @ ahead[later])
-        gamma = alpha * beta
+        back = np.ascontiguousarray(move.T)
+        starts = self.start.tolist()
+        for t in range(len(starts) - 3, -1, -1):
+            begin, end, last = starts[t : t + 3]
+            after = ahead[end:last]
+            after *= beta[end:last]
+            np.matmul(after, back, out=beta[begin : begin + last - end])
+        first = int(self.active[0])
+        width = np.repeat(self.active[:-1], self.active[1:])
+        previous = alpha.take(np.arange(first, len(alpha)) - width, axis=0)
+        moves = move * (previous.T @ ahead[first:])
+        beta *= alpha
         emissions = np.stack(
             [
                 np.bincount(self.symbols, weights=g, minlength=n_symbols)
-                for g in gamma.T
+                for g in np.ascontiguousarray(beta.T)
             ]
         )
-        return gamma[:first].sum(axis=0), moves, emissions
+        return beta[:first].sum(axis=0), moves, emissions
 
 
 def by_length(rows: Iterator[tuple], codes_at: int) -> Iterator[list[tuple]]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
 from collections import Counter, defaultdict
@@ -274,6 +275,30 @@ def test_forward_recursion_is_exact():
         assert math.isclose(10**log, alpha.sum(), rel_tol=1e-12)
 
 
+def test_expected_counts_equal_sums_over_all_paths():
+    rng = np.random.default_rng(5)
+    pi, move, emit = (rng.dirichlet(np.ones(2)), rng.dirichlet(np.ones(2), 2), rng.dirichlet(np.ones(4), 2).T)
+    for sequences in ([[0]], [[2], [1]], [[0], [1, 3, 2, 2], [3, 3], [1, 0, 1]]):
+        first, moves, emissions = np.zeros(2), np.zeros((2, 2)), np.zeros((2, 4))
+        for sequence in sequences:
+            weights = {}
+            for path in itertools.product(range(2), repeat=len(sequence)):
+                weight = pi[path[0]] * emit[sequence[0], path[0]]
+                for a, b, symbol in zip(path, path[1:], sequence[1:], strict=False):
+                    weight *= move[a, b] * emit[symbol, b]
+                weights[path] = weight
+            total = sum(weights.values())
+            for path, weight in weights.items():
+                first[path[0]] += weight / total
+                for a, b in itertools.pairwise(path):
+                    moves[a, b] += weight / total
+                for state, symbol in zip(path, sequence, strict=True):
+                    emissions[state, symbol] += weight / total
+        packed = hmm.Packed([np.array(s, np.uint16) for s in sequences])
+        for found, plain in zip(packed.expected(pi, move, emit, 4), (first, moves, emissions), strict=True):
+            assert np.allclose(found, plain, rtol=1e-12, atol=1e-14)
+
+
 def _block_edits(rng) -> list[str]:
     """Texts with copies in which a passage was changed, added or cut."""
     texts = []
