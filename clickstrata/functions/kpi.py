@@ -49,6 +49,20 @@ def total(name: str) -> Column:
     return F.coalesce(F.sum(name), F.lit(0)).cast(MONEY).alias(name)
 
 
+def signed_counts(sign: str) -> list[Column]:
+    """All five event counts, each event counted by its sign."""
+    return [
+        F.sum(F.when(F.col("event_type") == kind, F.col(sign)).otherwise(0)).alias(name)
+        for kind, name in COUNT_NAMES.items()
+    ]
+
+
+def signed_total(name: str, sign: str) -> Column:
+    """Sum of a money column over rows that are added (1) or taken off (-1)."""
+    amount = F.when(F.col(sign) < 0, -F.col(name)).otherwise(F.col(name))
+    return F.coalesce(F.sum(amount), F.lit(0)).cast(MONEY).alias(name)
+
+
 def sums(*names: str) -> list[Column]:
     return [F.sum(name).alias(name) for name in names]
 

@@ -74,3 +74,10 @@ def classified_again(
     known = rows.filter(was_duplicate()).select("event_id")
     repeated = known.union(spoiled.select("event_id")).distinct()
     return validation.classify_events(rows.select(*columns), requests, repeated)
+
+
+def clean_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Clean events that came (sign 1) and went (sign -1) with a classification."""
+    gone = validation.clean_of(before).withColumn("sign", F.lit(-1).cast("long"))
+    come = validation.clean_of(after).withColumn("sign", F.lit(1).cast("long"))
+    return come.unionByName(gone)

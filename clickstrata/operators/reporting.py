@@ -66,6 +66,10 @@ def _campaign_money(
     sums = events.groupBy(*keys).agg(
         *kpi.funnel_counts(), kpi.total("revenue"), kpi.total("reward_cost")
     )
+    return _priced(sums, campaigns, *traits)
+
+
+def _priced(sums: DataFrame, campaigns: DataFrame, *traits: str) -> DataFrame:
     priced = sums.join(campaigns.select("campaign_id", *traits, "bid_cpi"), "campaign_id")
     return priced.withColumn("spend", kpi.install_spend()).withColumn(
         "profit", kpi.profit()
@@ -107,9 +111,15 @@ def daily_campaign_metrics(
     events: DataFrame, campaigns: DataFrame, prefix: str | None = None
 ) -> DataFrame:
     """The stored per-day campaign table; rates without a base are 0."""
-    return _campaign_money(
-        in_scope(events, prefix), campaigns, [_metric_date(), "campaign_id"]
-    ).select(
+    return _daily_campaign_columns(
+        _campaign_money(
+            in_scope(events, prefix), campaigns, [_metric_date(), "campaign_id"]
+        )
+    )
+
+
+def _daily_campaign_columns(money: DataFrame) -> DataFrame:
+    return money.select(
         "metric_date",
         "campaign_id",
         *kpi.COUNTS,
@@ -134,6 +144,53 @@ def daily_app_metrics(events: DataFrame, prefix: str | None = None) -> DataFrame
     )
 
 
+# --- daily tables kept by differences ---------------------------------------
+#
+# What a daily table is computed from adds up: counts and money per day and key.
+# A batch adds a row of differences per day and key that it changes, with events
+# that are no longer clean taken off, and a day is the sum of its rows.  Rates,
+# spend and profit do not add up; they are computed from the sums.
+
+
+def daily_sums(changes: DataFrame, key: str, prefix: str | None = None) -> DataFrame:
+    """Events of ``sign`` 1 added and of ``sign`` -1 taken off, per day and key."""
+    return (
+        in_scope(changes, prefix)
+        .groupBy(_metric_date(), key)
+        .agg(
+            F.sum("sign").alias("events"),
+            *kpi.signed_counts("sign"),
+            kpi.signed_total("revenue", "sign"),
+            kpi.signed_total("reward_cost", "sign"),
+        )
+    )
+
+
+def merged_sums(parts: DataFrame, key: str) -> DataFrame:
+    """One row per day and key; a key of which no event is left has none."""
+    return (
+        parts.groupBy("metric_date", key)
+        .agg(
+            *kpi.sums("events", *kpi.COUNTS),
+            kpi.total("revenue"),
+            kpi.total("reward_cost"),
+        )
+        .filter(F.col("events") > 0)
+    )
+
+
+def daily_campaign_of_sums(parts: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """``daily_campaign_metrics`` of the events that the sums stand for."""
+    return _daily_campaign_columns(
+        _priced(merged_sums(parts, "campaign_id"), campaigns)
+    )
+
+
+def daily_app_of_sums(parts: DataFrame) -> DataFrame:
+    """``daily_app_metrics`` of the events that the sums stand for."""
+    return merged_sums(parts, "app_id").drop("events", "rewards")
+
+
 # --- listings of the daily tables ------------------------------------------
 
 

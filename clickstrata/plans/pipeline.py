@@ -34,6 +34,9 @@ VALIDATED = "events_validated"
 # How often each event id was seen: what validating a new batch has to know.
 COPIES = "event_copies"
 
+# What the daily tables are summed from, by the key that each is kept for.
+DAILY_SUMS = {"campaign_id": "daily_campaign_sums", "app_id": "daily_app_sums"}
+
 # One alert log in two folders.  Quality alerts grow with the events, those of
 # the monitoring do not, so refreshing one kind never rewrites the other.
 QUALITY_ALERTS = "alerts_quality"
@@ -90,6 +93,10 @@ class Pipeline:
         late copy spoils.  ``late_requests`` are requests that came after events of
         theirs; ``inputs.ad_requests`` has to hold them as well.
 
+        The daily tables follow by differences: the clean events that the batch brings
+        or spoils are summed, added to the stored sums, and the touched days computed
+        from these, so that no other event of those days is read.
+
         Each table commits the batch's name with its rows, so repeating a batch after
         a failure adds nothing twice, and a table that missed a batch is computed
         again from the validated events.  Returns the days that were refreshed.
@@ -117,13 +124,14 @@ class Pipeline:
             events, requests, incremental.repeated_in(arrived, seen)
         )
         again = incremental.classified_again(redone, spoiled, requests, columns)
+        classified = _by_outcome(fresh.unionByName(again)).persist()
         old = redone.select("raw_event_id", "event_date")
         touched = {row[0] for row in old.select("event_date").distinct().collect()}
         self.warehouse.replace_joined(
             VALIDATED,
             old,
             "raw_event_id",
-            _by_outcome(fresh.unionByName(again)),
+            classified,
             batch,
             [KeyRange("event_date", day, day + timedelta(1)) for day in touched],
         )
@@ -131,14 +139,18 @@ class Pipeline:
         new_days = events.select(F.to_date("event_time")).distinct().collect()
         touched |= {row[0] for row in new_days if row[0] is not None}
         if touched:
-            changed = events.select("raw_event_id").union(old.select("raw_event_id"))
-            rejected = self._half(False).filter(F.col("event_date").isin(*touched))
-            rejected = rejected.join(changed, "raw_event_id", "left_semi")
-            errors = logged(validation.errors_of(rejected))
+            dated = classified.filter(F.col("event_date").isNotNull())
+            errors = logged(validation.errors_of(dated))
             self.warehouse.replace_joined(
                 "event_validation_errors", old, "raw_event_id", errors, batch
             )
-            self.refresh_days(sorted(touched), batch)
+            changes = incremental.clean_changes(redone, classified)
+            for key, name in DAILY_SUMS.items():
+                self.warehouse.append(
+                    name, reporting.daily_sums(changes, key, self.scope), batch
+                )
+            self._publish_days(sorted(touched), batch)
+        classified.unpersist()
         seen.unpersist()
         redone.unpersist()
         return sorted(touched)
@@ -164,7 +176,7 @@ class Pipeline:
             self.warehouse.full_refresh(COPIES, incremental.copies_of(self.validated), names)
         if behind("event_validation_errors"):
             self._store_errors(sorted(names))
-        if behind("daily_campaign_metrics") or behind("daily_app_metrics"):
+        if any(map(behind, (*DAILY_SUMS.values(), "daily_campaign_metrics", "daily_app_metrics"))):
             self.refresh_daily_metrics()
 
     def purge(self, scope: maintenance.Scope) -> list[date]:
@@ -195,33 +207,59 @@ class Pipeline:
     # --- daily metrics ------------------------------------------------------
 
     def refresh_daily_metrics(self) -> None:
-        clean, scope = self.events_clean, self.scope
+        """Sum all clean events anew; also merges what batches have added."""
+        clean = self.events_clean.withColumn("sign", F.lit(1).cast("long"))
         names = self.warehouse.landed(VALIDATED)
+        for key, name in DAILY_SUMS.items():
+            sums = reporting.daily_sums(clean, key, self.scope)
+            self.warehouse.full_refresh(name, sums, names)
         self.warehouse.full_refresh(
             "daily_campaign_metrics",
-            reporting.daily_campaign_metrics(clean, self.inputs.campaigns, scope),
+            reporting.daily_campaign_of_sums(
+                self._sums("campaign_id"), self.inputs.campaigns
+            ),
             names,
         )
         self.warehouse.full_refresh(
-            "daily_app_metrics", reporting.daily_app_metrics(clean, scope), names
+            "daily_app_metrics", reporting.daily_app_of_sums(self._sums("app_id")), names
         )
 
-    def refresh_days(self, days: Sequence[date], batch: str | None = None) -> None:
+    def refresh_days(self, days: Sequence[date]) -> None:
         """Recompute only some days and replace exactly their partitions.
 
         Validated events lie by day, so only those days are read.
         """
         if not days:
             return
-        clean = self.clean_of_days(days)
+        if not all(map(self.warehouse.exists, DAILY_SUMS.values())):
+            # A warehouse written before there were sums.
+            self.refresh_daily_metrics()
+            return
+        clean = self.clean_of_days(days).withColumn("sign", F.lit(1).cast("long"))
+        for key, name in DAILY_SUMS.items():
+            sums = reporting.daily_sums(clean, key, self.scope)
+            self.warehouse.refresh_days(name, sums, days)
+        self._publish_days(days)
+
+    def _sums(self, key: str, days: Sequence[date] | None = None) -> DataFrame:
+        sums = self.warehouse.scan(DAILY_SUMS[key])
+        return sums if days is None else sums.filter(F.col("metric_date").isin(*days))
+
+    def _publish_days(self, days: Sequence[date], batch: str | None = None) -> None:
+        """Replace these days of the daily tables by what their sums give."""
         self.warehouse.refresh_days(
             "daily_campaign_metrics",
-            reporting.daily_campaign_metrics(clean, self.inputs.campaigns, self.scope),
+            reporting.daily_campaign_of_sums(
+                self._sums("campaign_id", days), self.inputs.campaigns
+            ),
             days,
             batch,
         )
         self.warehouse.refresh_days(
-            "daily_app_metrics", reporting.daily_app_metrics(clean, self.scope), days, batch
+            "daily_app_metrics",
+            reporting.daily_app_of_sums(self._sums("app_id", days)),
+            days,
+            batch,
         )
 
     def clean_of_days(self, days: Sequence[date]) -> DataFrame:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections import Counter
 from datetime import date, timedelta
+from functools import reduce
 
 import pytest
 from hand_rows import plan_of, seven_requests, with_faults
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickstrata.operators import incremental, maintenance
+from clickstrata.operators import incremental, maintenance, reporting, validation
 from clickstrata.plans.pipeline import COPIES, VALIDATED, Inputs, Pipeline
 from clickstrata.sources.tables import Warehouse
 
@@ -156,3 +158,72 @@ def test_a_purge_refreshes_the_days_it_touches(spark, tmp_path, whole):
     fresh.refresh_daily_metrics()
     for name in ("daily_campaign_metrics", "daily_app_metrics"):
         assert rows_of(pipeline, name) == rows_of(fresh, name), name
+
+
+def test_sums_with_events_taken_off_equal_a_recount(spark):
+    hand = story(spark)
+    classified = validation.classify_events(hand.raw, hand.ad_requests)
+    classified = classified.filter("errors is null").persist()
+    plus, minus = (F.lit(n).cast("long") for n in (1, -1))
+
+    def clean_where(condition):
+        return validation.clean_of(classified.filter(condition))
+
+    # Among those taken off are all events of some days and keys.
+    gone = "(raw_event_id % 3 = 0 or raw_event_id between 5 and 12)"
+    clean, left = clean_where("true"), clean_where(f"not {gone}")
+    parts = [
+        [(clean_where("raw_event_id < 25"), plus)],
+        [
+            (clean_where("raw_event_id >= 25"), plus),
+            (clean_where(f"raw_event_id < 25 and {gone}"), minus),
+        ],
+        [(clean_where(f"raw_event_id >= 25 and {gone}"), minus)],
+    ]
+
+    def summed(key):
+        batches = []
+        for changes in parts:
+            signed = [rows.withColumn("sign", sign) for rows, sign in changes]
+            batches.append(reporting.daily_sums(reduce(DataFrame.unionByName, signed), key))
+        return reduce(DataFrame.unionByName, batches)
+
+    def rows(df):
+        return Counter(map(tuple, df.collect()))
+
+    by_campaign = reporting.daily_campaign_of_sums(summed("campaign_id"), hand.campaigns)
+    recount = reporting.daily_campaign_metrics(left, hand.campaigns)
+    assert rows(by_campaign) == rows(recount) and by_campaign.columns == recount.columns
+    by_app, recount = reporting.daily_app_of_sums(summed("app_id")), reporting.daily_app_metrics(left)
+    assert rows(by_app) == rows(recount) and by_app.columns == recount.columns
+    assert 0 < recount.count() < reporting.daily_app_metrics(clean).count()
+    # Nothing left, and nothing there from the start.
+    everything = [clean.withColumn("sign", sign) for sign in (plus, minus)]
+    assert not reporting.daily_app_of_sums(
+        reporting.daily_sums(everything[0].unionByName(everything[1]), "app_id")
+    ).count()
+    assert not reporting.daily_app_of_sums(
+        reporting.daily_sums(everything[0].limit(0), "app_id")
+    ).count()
+
+
+def test_a_batch_reads_no_other_events_of_the_days_it_changes(spark, tmp_path, monkeypatch):
+    hand = story(spark)
+    pipeline = over(spark, tmp_path, hand)
+    pipeline.take_in(hand.raw.filter("raw_event_id < 25"), "first")
+    before = pipeline.warehouse.files("daily_campaign_sums")
+
+    def read(*_):
+        raise AssertionError("clean events read again")
+
+    monkeypatch.setattr(Pipeline, "events_clean", property(read))
+    monkeypatch.setattr(Pipeline, "clean_of_days", read)
+    assert pipeline.take_in(hand.raw.filter("raw_event_id >= 25"), "second")
+    monkeypatch.undo()
+    # What earlier batches added stays as it is; a full refresh merges it.
+    assert set(before) < set(pipeline.warehouse.files("daily_campaign_sums"))
+    found = {name: rows_of(pipeline, name) for name in TABLES[2:]}
+    pipeline.refresh_daily_metrics()
+    assert found == {name: rows_of(pipeline, name) for name in TABLES[2:]}
+    sums = pipeline.warehouse.scan("daily_campaign_sums")
+    assert sums.count() == sums.select("metric_date", "campaign_id").distinct().count()
