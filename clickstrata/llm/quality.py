@@ -1,30 +1,29 @@
 """Quality classifier: an interpolated modified Kneser-Ney trigram model.
 
-The model is fitted on trusted documents (quality 1, not toxic), of which about
-``TRAIN_TOKENS`` words per language are drawn by hash of the id: this documented
-bound also bounds the model, to about as many trigrams, bigrams and words.
-N-grams are counted in shards by 64-bit key; continuation counts, context totals
-and discounts come from joins between the shards of neighbouring orders, and give
-each n-gram its discounted share and each context its back-off weight.
-
-All documents are then scored against the shards.  An exploded join would ship
-every n-gram occurrence of the corpus over the network three times; as the shards
-are bounded by the sample, they are sorted, broadcast and probed where the
-documents lie instead, and no text is shuffled.
-
-A second model of the same kind and bound is fitted on documents labelled toxic or
-junk.  The quotient of the two perplexities says how much better it foretells a
-text than the first model does; as a few toxic words drown in the mean of a long
-text, the largest quotient of a single word's shares counts too.
+The model is fitted on all trusted documents (quality 1, not toxic) but the share
+``HELD_OUT``, drawn by hash of the id, that the limits are taken from.  N-grams are
+counted in shards by 64-bit key; continuation counts, context totals and discounts
+come from joins between the shards of neighbouring orders, and give each n-gram its
+discounted share and each context its back-off weight.
+
+The model grows with the labels, so it stays a table.  All documents are scored in
+blocks of ``BLOCK`` rows: a block asks for each of its n-grams once, one join finds
+those that the models hold, and they come back to the block, which is then scored
+against them alone.
+
+A second model of the same kind is fitted on all documents labelled toxic or junk.
+The quotient of the two perplexities says how much better it foretells a text than
+the first model does; as a few toxic words drown in the mean of a long text, the
+largest quotient of a single word's shares counts too.
 
 A document is accepted if its perplexity and these two quotients are each at most
-the ``QUANTILE`` of its language among *all* trusted documents that were not drawn
-for training; without toxic or junk labels only the perplexity counts.  The
-quantiles come from exact counts in bins of a thousandth of the logarithm.
+the ``QUANTILE`` of its language among the trusted documents that were held out;
+without toxic or junk labels only the perplexity counts.  The quantiles come from
+exact counts in bins of a thousandth of the logarithm.
 
 Defined results: a null text is empty and consists of the end of the text; a
-language without trusted documents takes the quantile of all languages, and
-without any trusted document everything is accepted; several labels of one id
+language without held-out documents takes the quantile of all languages, and
+without any held-out document everything is accepted; several labels of one id
 are trusted only if all are; labels with nulls are not; an empty table gives no
 rows.
 """
@@ -33,6 +32,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -47,16 +47,14 @@ from clickstrata.llm.common import (
     fields,
     passing,
     with_row_key,
-    word_count,
     words,
 )
 
-TRAIN_TOKENS = 150_000  # words drawn per language, about
-HELD_OUT = 0.1  # least share of trusted documents kept for the thresholds
-BAD_HELD_OUT = 0.5  # least share of toxic and junk labels kept to measure by
+HELD_OUT = 0.1  # share of trusted documents kept for the thresholds
 QUANTILE = 0.995
 BIN = 1000  # bins per unit of log perplexity
-TEXT_BYTES = 1 << 21  # text scored at once
+TEXT_BYTES = 1 << 21  # text counted at once
+BLOCK = 1 << 8  # rows scored at once
 
 START, END = b" <s>", b" </s>"  # a word holds no blank
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -98,7 +96,9 @@ def _count_grams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             keys, at = token_keys(texts)
             one, two, three = gram_keys(keys)
             start = xxhash.xxh64_intdigest(START)
-            rows = pd.DataFrame(
+            _, first, c = np.unique(three[at], return_index=True, return_counts=True)
+            at = at[first]
+            yield pd.DataFrame(
                 {
                     "three": three[at].view(np.int64),
                     "head": two[at - 1].view(np.int64),
@@ -106,42 +106,35 @@ def _count_grams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     "mid": one[at - 1].view(np.int64),
                     "one": one[at].view(np.int64),
                     "opens": one[at - 1] == np.uint64(start),
+                    "c": c,
                 }
             )
-            names = list(rows.columns)
-            yield rows.groupby(names, as_index=False).size().rename(columns={"size": "c"})
 
 
 @dataclass(frozen=True)
 class Model:
     """Sorted n-gram keys with discounted share and, as context, back-off weight."""
 
-    keys: tuple[np.ndarray, np.ndarray, np.ndarray]
-    share: tuple[np.ndarray, np.ndarray, np.ndarray]
-    weight: tuple[np.ndarray, np.ndarray]
+    keys: np.ndarray
+    share: np.ndarray
+    weight: np.ndarray
     floor: float  # share of each word, known or not, below the unigrams
 
-    def _find(self, order: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys = self.keys[order]
-        if not len(keys):
-            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        return at, keys[at] == wanted
+    def of(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Share and back-off weight of n-grams; what isn't held adds and takes nothing."""
+        if not len(self.keys):
+            return np.zeros(len(wanted)), np.ones(len(wanted))
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        known = self.keys[at] == wanted
+        return np.where(known, self.share[at], 0.0), np.where(known, self.weight[at], 1.0)
 
     def log_probabilities(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Natural log probability and number of tokens of each text."""
         keys, at = token_keys(texts)
-        one, two, three = gram_keys(keys)
-        found1, is1 = self._find(0, one)
-        found2, is2 = self._find(1, two)
-        p = np.full(len(at), self.floor)
-        p += np.where(is1[at], self.share[0][found1[at]], 0.0)
-        for order, found, known, gram in ((1, found1, is1, two), (2, found2, is2, three)):
-            context = np.where(known[at - 1], self.weight[order - 1][found[at - 1]], 1.0)
-            p *= context
-            seen = np.flatnonzero(known[at - 1] & (is2[at] if order == 2 else is1[at]))
-            hit, known_gram = self._find(order, gram[at[seen]])
-            p[seen] += np.where(known_gram, self.share[order][hit], 0.0)
+        (share1, weight1), (share2, weight2), (share3, _) = map(self.of, gram_keys(keys))
+        p = self.floor + share1[at]
+        p = p * weight1[at - 1] + share2[at]
+        p = p * weight2[at - 1] + share3[at]
         ends = np.append(np.flatnonzero(np.diff(at) > 1), len(at) - 1)
         total = np.cumsum(np.log(p))[ends]
         return np.diff(total, prepend=0.0), np.diff(ends, prepend=-1)
@@ -157,8 +150,7 @@ def strongest_word(trusted: Model, bad: Model, texts: list[str | None]) -> np.nd
     keys, at = token_keys(texts)
     shares = []
     for model in (bad, trusted):
-        found, known = model._find(0, keys[at])
-        shares.append(model.floor + np.where(known, model.share[0][found], 0.0))
+        shares.append(model.floor + model.of(keys[at])[0])
     starts = np.append(0, np.flatnonzero(np.diff(at) > 1) + 1)
     return np.maximum.reduceat(shares[0] / shares[1], starts)
 
@@ -190,32 +182,8 @@ def _order(grams: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     )
 
 
-def _packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """N-grams of a batch as three arrays."""
-    for frame in frames:
-        arrays = (
-            frame["gram"].to_numpy(np.int64),
-            frame["share"].fillna(0.0).to_numpy(np.float32),
-            frame["weight"].fillna(1.0).to_numpy(np.float32),
-        )
-        yield pd.DataFrame([[x.tobytes() for x in arrays]], columns=frame.columns)
-
-
-def _unpacked(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys in order, with share and weight; without any, one that adds nothing."""
-    if not rows:
-        one = np.ones(1, np.float32)
-        return np.zeros(1, np.uint64), 0 * one, one
-    gram, share, weight = (
-        np.frombuffer(b"".join(row[i] for row in rows), kind)
-        for i, kind in enumerate((np.uint64, np.float32, np.float32))
-    )
-    order = np.argsort(gram)
-    return gram[order], share[order], weight[order]
-
-
-def train(texts: DataFrame, scratch: Scratch) -> Model:
-    """Fit on the texts of a bounded sample."""
+def train(texts: DataFrame, scratch: Scratch) -> tuple[DataFrame, float]:
+    """The n-grams of the texts (gram, share, weight), and the floor below the words."""
     counted = texts.mapInPandas(
         _count_grams,
         "three long, head long, two long, mid long, one long, opens boolean, c long",
@@ -240,7 +208,7 @@ def train(texts: DataFrame, scratch: Scratch) -> Model:
         upper.select(F.col("context").alias("gram"), "weight").distinct()
         for upper in fitted[1:]
     ]
-    keys, share, weight = [], [], []
+    held = []
     for i, df in enumerate(fitted):
         # Contexts that are no n-grams themselves (starts) join from outside.
         rows = df.select("gram", "share")
@@ -248,48 +216,68 @@ def train(texts: DataFrame, scratch: Scratch) -> Model:
             rows = rows.join(weights[i], "gram", "full")
         else:
             rows = rows.withColumn("weight", F.lit(1.0))
-        packed = rows.mapInPandas(_packed, "gram binary, share binary, weight binary")
-        gram, part, back = _unpacked(packed.collect())
-        keys.append(gram)
-        share.append(part)
-        if i < 2:
-            weight.append(back)
+        share = F.coalesce("share", F.lit(0.0)).cast("float").alias("share")
+        weight = F.coalesce("weight", F.lit(1.0)).cast("float").alias("weight")
+        held.append(scratch.store(rows.select("gram", share, weight), f"held-{i}"))
     top = fitted[0].select("weight").first()
-    vocabulary = len(keys[0]) + 1
-    floor = (top["weight"] if top else 1.0) / vocabulary
-    return Model(tuple(keys), tuple(share), tuple(weight), floor)
+    vocabulary = max(held[0].count(), 1) + 1
+    return reduce(DataFrame.union, held), (top["weight"] if top else 1.0) / vocabulary
 
 
-def _scorer(spark, models: list[Model]):
-    shards = spark.sparkContext.broadcast(
-        [(model.keys, model.share, model.weight, model.floor) for model in models]
-    )
-
-    @F.pandas_udf("struct<n_tokens: long, perplexity: double, likeness: double, word: double>")
-    def score(texts: pd.Series) -> pd.DataFrame:
-        fitted = [Model(*arrays) for arrays in shards.value]
-        logs, counts, strongest = [], [], []
-        for part in batches(iter(texts), TEXT_BYTES, lambda t: len(t or "")):
-            found = [model.log_probabilities(part) for model in fitted]
-            logs.append(np.stack([log for log, _ in found]))
-            counts.append(found[0][1])
-            strongest.append(strongest_word(fitted[0], fitted[-1], part))
-        log, count = np.concatenate(logs, axis=1), np.concatenate(counts)
+def _asked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The n-grams of each block, each once a batch."""
+    for frame in frames:
+        for block, texts in frame.groupby("block")["text"]:
+            grams = np.unique(np.concatenate(gram_keys(token_keys(list(texts))[0])))
+            yield pd.DataFrame({"block": block, "gram": grams.view(np.int64)})
+
+
+def _scorer(floors: list[float]):
+    def model(found: pd.DataFrame, floor: float) -> Model:
+        keys = found["gram"].to_numpy(np.int64).view(np.uint64)
+        keys, first = np.unique(keys, return_index=True)
+        arrays = [found[c].to_numpy(np.float64)[first] for c in ("share", "weight")]
+        return Model(keys, *arrays, floor)
+
+    def score(block: pd.DataFrame, grams: pd.DataFrame) -> pd.DataFrame:
+        fitted = [model(grams[grams["model"] == i], floor) for i, floor in enumerate(floors)]
+        texts = list(block["text"])
+        found = [model.log_probabilities(texts) for model in fitted]
+        (log, count), (bad_log, _) = found[0], found[-1]
         perplexity = np.exp(-log / count)
-        # How much better the rejected texts' model foretells it; 1 without one.
-        likeness = perplexity[0] / perplexity[-1]
         return pd.DataFrame(
             {
+                "at": block["at"],
                 "n_tokens": count,
-                "perplexity": perplexity[0],
-                "likeness": likeness,
-                "word": np.concatenate(strongest),
+                "perplexity": perplexity,
+                # How much better the rejected texts' model foretells it; 1 without one.
+                "likeness": perplexity / np.exp(-bad_log / count),
+                "word": strongest_word(fitted[0], fitted[-1], texts),
             }
         )
 
     return score
 
 
+def scores(rows: DataFrame, models: list[tuple[DataFrame, float]]) -> DataFrame:
+    """(at, n_tokens, perplexity, likeness, word) of stored rows (at, text)."""
+    blocks = rows.select(F.shiftright("at", BLOCK.bit_length() - 1).alias("block"), "at", "text")
+    asked = blocks.select("block", "text").mapInPandas(_asked, "block long, gram long")
+    held = reduce(
+        DataFrame.union,
+        [grams.withColumn("model", F.lit(i)) for i, (grams, _) in enumerate(models)],
+    )
+    found = asked.join(held, "gram").select("block", "model", "gram", "share", "weight")
+    return (
+        blocks.groupBy("block")
+        .cogroup(found.groupBy("block"))
+        .applyInPandas(
+            _scorer([floor for _, floor in models]),
+            "at long, n_tokens long, perplexity double, likeness double, word double",
+        )
+    )
+
+
 def thresholds(
     trusted: DataFrame, quantile: float, score: str = "perplexity"
 ) -> DataFrame:
@@ -313,7 +301,6 @@ def thresholds(
 def classify(
     docs: DataFrame,
     labels: DataFrame,
-    train_tokens: int = TRAIN_TOKENS,
     quantile: float = QUANTILE,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
@@ -324,48 +311,38 @@ def classify(
         F.col("doc_id").alias("id"),
         F.col("text").cast("string").alias("text"),
         F.col("lang").cast("string").alias("lang"),
+        F.monotonically_increasing_id().alias("at"),
         *carry,
     )
+    # Stored with their numbers, by which blocks are read twice.
+    rows = scratch.store(rows, "rows")
     labelled = labels.groupBy(F.col("doc_id").alias("label_id")).agg(
         F.every(F.col("quality").eqNullSafe(1)).alias("good"),
         F.every(F.col("toxic").eqNullSafe(0)).alias("mild"),
         F.some(F.col("quality").eqNullSafe(0) | F.col("toxic").eqNullSafe(1)).alias("bad"),
     )
-    labelled = labelled.filter("label_id is not null")
-
-    def drawn_from(which: str, kept_out: float, name: str) -> DataFrame:
-        """(id, lang, training) of the documents with these labels."""
-        ids = scratch.store(labelled.filter(which).select("label_id"), f"{name}-ids")
-        named = rows.join(ids, rows["id"] == ids["label_id"], "left_semi")
-        draw = F.xxhash64("id", F.lit(9)) / F.lit(2.0**64) + 0.5
-        n = word_count(F.col("text")).alias("n")
-        sizes = scratch.store(named.select("id", "lang", n, draw.alias("u")), f"{name}-sizes")
-        # One row per language, of which there are few.
-        totals = sizes.groupBy("lang").agg(F.sum("n").alias("n"))
-        cut = F.least(F.lit(1.0 - kept_out), F.lit(float(train_tokens)) / F.col("n"))
-        shares = totals.select(F.col("lang").alias("of"), cut.alias("cut"))
-        drawn = sizes.join(shares, sizes["lang"].eqNullSafe(shares["of"]))
-        training = (F.col("u") < F.col("cut")).alias("training")
-        return scratch.store(drawn.select("id", "lang", training), f"{name}-drawn")
-
-    def fitted(drawn: DataFrame, name: str) -> Model:
-        sample = rows.join(drawn.filter("training").select("id"), "id", "left_semi")
-        return train(sample.select("text"), Scratch(spark, name))
-
-    drawn = drawn_from("good and mild", HELD_OUT, "trusted")
-    bad = drawn_from("bad", BAD_HELD_OUT, "bad")
-    models = [fitted(drawn, "quality-trusted")]
-    if not bad.filter("training").isEmpty():
+    labelled = scratch.store(labelled.filter("label_id is not null"), "labelled")
+    trusted, bad = labelled.filter("good and mild"), labelled.filter("bad")
+    kept = F.xxhash64("label_id", F.lit(9)) / F.lit(2.0**64) + 0.5 >= 1.0 - HELD_OUT
+
+    def labelled_so(of: DataFrame, ids: DataFrame) -> DataFrame:
+        return of.join(ids.select(F.col("label_id").alias("id")), "id", "left_semi")
+
+    def fitted(ids: DataFrame, name: str) -> tuple[DataFrame, float]:
+        return train(labelled_so(rows, ids).select("text"), Scratch(spark, name))
+
+    models = [fitted(trusted.filter(~kept), "quality-trusted")]
+    if not labelled_so(rows, bad).isEmpty():
         models.append(fitted(bad, "quality-bad"))
 
-    score = _scorer(spark, models)
-    scored = rows.select("id", "lang", *carry, score("text").alias("s"))
-    scored = scratch.store(scored.select("id", "lang", *carry, "s.*"), "scored")
-    held_out = drawn.filter("not training").select("id").distinct()
-    held_out = scored.join(held_out, "id", "left_semi")
+    scored = scratch.store(scores(rows, models), "scores")
+    scored = rows.select("at", "id", "lang", *carry).join(scored, "at").drop("at")
+    scored = scratch.store(scored, "scored")
+    scratch.drop("rows", "scores")
+    held_out = labelled_so(scored, trusted.filter(kept))
     judged = scored
-    scores = {"perplexity": "threshold", "likeness": "most", "word": "most_word"}
-    for value, name in scores.items():
+    limited = {"perplexity": "threshold", "likeness": "most", "word": "most_word"}
+    for value, name in limited.items():
         limits = scratch.store(thresholds(held_out, quantile, value), f"{name}-limits")
         own = limits.filter("not pooled").select(
             F.col("lang").alias("of"), F.col("threshold").alias("own")
@@ -377,7 +354,7 @@ def classify(
             .withColumn(name, F.coalesce("own", "pooled"))
             .drop("of", "own", "pooled")
         )
-    fits = F.expr(" and ".join(f"{value} <= {name}" for value, name in scores.items()))
+    fits = F.expr(" and ".join(f"{value} <= {name}" for value, name in limited.items()))
     return judged.withColumn("accepted", F.coalesce(fits, F.lit(True))).select(
         "id", "lang", "n_tokens", "perplexity", "threshold", "accepted", *carry
     )

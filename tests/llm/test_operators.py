@@ -435,3 +435,69 @@ def test_quality_rejects_toxic_documents(spark):
     found = {r.id: r.accepted for r in quality.classify(docs, labels).collect()}
     assert sum(found[i] for i in range(120)) >= 112
     assert sum(not found[i] for i in range(160, 200)) >= 38
+
+
+def test_quality_trains_on_every_trusted_text(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.3, 800) % 5000) for _ in range(400)]
+    docs = spark.createDataFrame(
+        [(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string"
+    )
+    labels = spark.createDataFrame(
+        [(i, int(i < 300), 0) for i in range(390)], "doc_id long, quality int, toxic int"
+    )
+    trained = []
+    train = quality.train
+
+    def counted(chosen, scratch):
+        trained.append(Counter(r.text for r in chosen.collect()))
+        return train(chosen, scratch)
+
+    monkeypatch.setattr(quality, "train", counted)
+    found = {r.id: r.perplexity for r in quality.classify(docs, labels).collect()}
+    trusted, bad = trained
+    assert trusted <= Counter(texts[:300]) and trusted.total() >= 250  # less those held out
+    assert bad == Counter(texts[300:390])
+    monkeypatch.setattr(quality, "BLOCK", 1)
+    again = {r.id: r.perplexity for r in quality.classify(docs, labels).collect()}
+    assert again == pytest.approx(found, rel=1e-9)
+    # The last document's perplexity from counts of all that was trained on.
+    assert found[399] == pytest.approx(_perplexity(trusted, texts[399]), rel=1e-4)
+
+
+def _perplexity(trained: Counter, text: str) -> float:
+    """Interpolated modified Kneser-Ney, written plainly."""
+    start, end = "<s>", "</s>"
+    trigrams = Counter()
+    for known, n in trained.items():
+        tokens = [start, start, *known.split(), end]
+        for gram in zip(tokens, tokens[1:], tokens[2:], strict=False):
+            trigrams[gram] += n
+    bigrams, unigrams = Counter(), Counter()
+    for (_, b, c), n in trigrams.items():
+        bigrams[b, c] += n if b == start else 1
+    for _, c in bigrams:
+        unigrams[(c,)] += 1
+    orders = []
+    for counts in (unigrams, bigrams, trigrams):
+        cuts = quality._discounts(Counter(counts.values()))
+        total, freed = Counter(), Counter()
+        for gram, n in counts.items():
+            total[gram[:-1]] += n
+            freed[gram[:-1]] += cuts[min(n, 3) - 1]
+        orders.append((counts, cuts, total, freed))
+    # Starts are contexts, and so among the known words.
+    size = len(unigrams) + 2
+
+    def p(gram: tuple) -> float:
+        counts, cuts, total, freed = orders[len(gram) - 1]
+        lower = p(gram[1:]) if len(gram) > 1 else 1 / size
+        n, context = counts[gram], gram[:-1]
+        if not total[context]:
+            return lower
+        share = (n - cuts[min(n, 3) - 1]) / total[context] if n else 0.0
+        return share + freed[context] / total[context] * lower
+
+    tokens = [start, start, *text.split(), end]
+    logs = [math.log(p(g)) for g in zip(tokens, tokens[1:], tokens[2:], strict=False)]
+    return math.exp(-sum(logs) / len(logs))
