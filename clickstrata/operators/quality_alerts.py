@@ -14,7 +14,7 @@ from clickstrata.operators.alerting import (
     open_alerts,
     union_alerts,
 )
-from clickstrata.operators.validation import meet_requests
+from clickstrata.operators.validation import maybe_repeated
 
 
 def _lost_tracking() -> Rule:
@@ -49,15 +49,18 @@ def _repeated_event() -> Rule:
 
 def missing_or_unknown_tracking(raw: DataFrame, requests: DataFrame) -> DataFrame:
     """One alert per event without a tracking id or with an unknown one."""
-    lost = meet_requests(
-        raw.select("raw_event_id", "event_id", "tracking_id"), requests, "left_anti"
+    events = raw.select("event_id", "tracking_id")
+    # Without a tracking id there is nothing to look up, so those rows stay where they are.
+    unknown = events.filter(F.col("tracking_id").isNotNull()).join(
+        requests.select("tracking_id"), "tracking_id", "left_anti"
     )
+    lost = events.filter(F.col("tracking_id").isNull()).unionByName(unknown)
     return emit(lost, [_lost_tracking()])
 
 
 def duplicate_event_id(raw: DataFrame) -> DataFrame:
     """One alert per event id that occurs more than once."""
-    copies = raw.groupBy("event_id").agg(F.count(F.lit(1)).alias("copies"))
+    copies = maybe_repeated(raw).groupBy("event_id").agg(F.count(F.lit(1)).alias("copies"))
     return emit(copies, [_repeated_event()])
 
 

@@ -50,6 +50,10 @@ CLEAN_COLUMNS = (
 )
 
 
+# Event ids are told apart by slot of their hash before they are compared.
+SLOTS = 1 << 20
+
+
 def _error(error_type: str, when: Column, *text: str | Column) -> Rule:
     record = F.struct(
         F.lit(error_type).alias("error_type"), message(*text).alias("error_message")
@@ -133,6 +137,34 @@ def meet_requests(
     return keyed.join(side, matches, how).drop("_join_id")
 
 
+def _slot() -> Column:
+    return F.pmod(F.xxhash64("event_id"), F.lit(SLOTS)).alias("_slot")
+
+
+def in_slots(events: DataFrame, slots: DataFrame, how: str) -> DataFrame:
+    """The events whose id falls into a slot (``left_semi``) or into none (``left_anti``).
+
+    There are no more than ``SLOTS`` of them, so they can always be broadcast, and
+    events need not be shuffled to be told apart.
+    """
+    keyed = events.withColumn("_slot", _slot())
+    return keyed.join(F.broadcast(slots), "_slot", how).drop("_slot")
+
+
+def maybe_repeated(raw: DataFrame) -> DataFrame:
+    """The events of which the id may repeat: all copies of repeated ids, and few others.
+
+    Only a hash of the id is shuffled.
+    """
+    hashed = raw.groupBy(F.xxhash64("event_id").alias("_hash")).agg(
+        F.count(F.lit(1)).alias("copies")
+    )
+    slots = hashed.filter(F.col("copies") > 1).select(
+        F.pmod("_hash", F.lit(SLOTS)).alias("_slot")
+    )
+    return in_slots(raw, slots.distinct(), "left_semi")
+
+
 def duplicate_event_ids(raw: DataFrame) -> DataFrame:
     """Event ids that occur more than once.
 
@@ -148,6 +180,20 @@ def duplicate_event_ids(raw: DataFrame) -> DataFrame:
     )
 
 
+def repeated_event_ids(raw: DataFrame) -> DataFrame:
+    """The same ids, counted among the events of which the id may repeat.
+
+    Reads the ids twice and shuffles hashes in their place.
+    """
+    return duplicate_event_ids(maybe_repeated(raw))
+
+
+def _by_repeats(events: DataFrame, duplicates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Events whose id is none of the duplicates, and those to be joined with them."""
+    slots = duplicates.select(_slot()).distinct()
+    return in_slots(events, slots, "left_anti"), in_slots(events, slots, "left_semi")
+
+
 def checked_events(
     raw: DataFrame, requests: DataFrame, duplicates: DataFrame | None = None
 ) -> tuple[DataFrame, list[Rule]]:
@@ -236,16 +282,15 @@ def events_clean(
 
     An event is clean when its id is unique and a request agrees with it on
     all six columns.  That is an anti join and a semi join: NULLs drop out of
-    the equality by themselves and no request column is carried along.
+    the equality by themselves and no request column is carried along.  Only events
+    in the slots of repeated ids are shuffled by id.
     """
     if duplicates is None:
-        duplicates = duplicate_event_ids(raw)
+        duplicates = repeated_event_ids(raw)
     agreed = ["tracking_id", *MISMATCHES]
-    return _as_clean(
-        raw.join(duplicates, "event_id", "left_anti").join(
-            requests.select(*agreed), agreed, "left_semi"
-        )
-    )
+    single, others = _by_repeats(raw, duplicates)
+    unique = single.unionByName(others.join(duplicates, "event_id", "left_anti"))
+    return _as_clean(unique.join(requests.select(*agreed), agreed, "left_semi"))
 
 
 def clean_of(classified: DataFrame) -> DataFrame:

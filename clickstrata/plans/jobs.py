@@ -35,9 +35,7 @@ class Jobs(DriverTables):
 
     @cached_property
     def events_clean(self) -> DataFrame:
-        return validation.events_clean(
-            self.events_raw, self.ad_requests, self.duplicates
-        )
+        return validation.events_clean(self.events_raw, self.ad_requests)
 
     @cached_property
     def validation_errors(self) -> DataFrame:

@@ -201,3 +201,22 @@ def test_keys_of_several_columns_and_nulls_stay_apart(spark):
         [("a:1", "b"), ("a", "1:b"), ("a", None), ("a", ""), ("a", None)], "x string, y string"
     )
     assert rows.select(audit._text(("x", "y"))).distinct().count() == 4
+
+
+def test_clean_events_and_alerts_shuffle_no_event_by_its_id(spark, stored, shuffled_joins):
+    """Nothing but hashes, and the events in the slots of repeated ids."""
+    schema = "raw_event_id string, event_id string, tracking_id string"
+    rows = [(str(i), f"e{i if i % 50 else 0}", f"t{i}") for i in range(2000)]
+    rows += [(f"n{i}", None, f"t{i}") for i in range(2000, 2040)]
+    raw = spark.createDataFrame(rows, schema)
+    assert validation.maybe_repeated(raw).count() < 120  # 40 copies, 40 nulls
+    for ids in (validation.repeated_event_ids(raw), validation.duplicate_event_ids(raw)):
+        assert sorted(r.event_id or "" for r in ids.collect()) == ["", "e0"]
+    requests = stored["ad_requests"]
+    clean = plan_of(validation.events_clean(stored["events_raw"], requests))
+    alerts = plan_of(
+        quality_alerts.quality_alerts(stored["events_raw"], requests, stored["campaigns"])
+    )
+    for plan in (clean, alerts):
+        by_id = plan.split("Exchange hashpartitioning(event_id")[1:]
+        assert by_id and all("LeftSemi" in x for x in by_id)
