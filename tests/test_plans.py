@@ -217,6 +217,7 @@ def test_clean_events_and_alerts_shuffle_no_event_by_its_id(spark, stored, shuff
     alerts = plan_of(
         quality_alerts.quality_alerts(stored["events_raw"], requests, stored["campaigns"])
     )
-    for plan in (clean, alerts):
+    errors = plan_of(validation.validation_errors(stored["events_raw"], requests))
+    for plan in (clean, alerts, errors):
         by_id = plan.split("Exchange hashpartitioning(event_id")[1:]
         assert by_id and all("LeftSemi" in x for x in by_id)
