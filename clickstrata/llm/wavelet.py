@@ -21,7 +21,6 @@ first; equal ids are ordered by text; an empty table gives no files and no rows.
 from __future__ import annotations
 
 import json
-import re
 import struct
 import uuid
 import zlib
@@ -31,6 +30,8 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -51,15 +52,43 @@ END_ID = 1
 SHARD_TOKENS = 4_000_000
 MAGIC = b"WVM1"
 RANK = 512  # bits between two stored ranks
-KEPT = 500_000  # parts of words whose ids a worker keeps
+STRETCH = 1 << 16  # tokens that are dealt out at once by a bit
+KEPT = 200_000  # words whose ids a worker keeps
 ASKED = 4096  # parts that are tokenized at once
-# Signs at the end of a word; the tokenizer parts them from a letter before them.
-ENDING = re.compile(rb"(?<=[a-z])([.,;:!?|*$%&#]+)(?![^\x20\x09-\x0D])")
+TEXTS = 1 << 10  # texts encoded at once
+SIGNS = b".,;:!?|*$%&#"  # at a word's end the tokenizer parts them from a letter
 
 
 # --- the file ------------------------------------------------------------------
 
 
+def _zeros_first(values: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """The values whose bit is 0, then those whose bit is 1, each in their order."""
+    out = np.empty_like(values)
+    zero, one = 0, len(bits) - int(np.count_nonzero(bits))
+    for at in range(0, len(bits), STRETCH):
+        some, chosen = values[at : at + STRETCH], bits[at : at + STRETCH]
+        ones = some[np.flatnonzero(chosen)]
+        zeros = some[np.flatnonzero(~chosen)]
+        out[zero : zero + len(zeros)] = zeros
+        out[one : one + len(ones)] = ones
+        zero, one = zero + len(zeros), one + len(ones)
+    return out
+
+
+def _back_in_order(values: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Undoes ``_zeros_first``."""
+    out = np.empty_like(values)
+    zero, one = 0, len(bits) - int(np.count_nonzero(bits))
+    for at in range(0, len(bits), STRETCH):
+        some, chosen = out[at : at + STRETCH], bits[at : at + STRETCH]
+        ones, zeros = np.flatnonzero(chosen), np.flatnonzero(~chosen)
+        some[zeros] = values[zero : zero + len(zeros)]
+        some[ones] = values[one : one + len(ones)]
+        zero, one = zero + len(zeros), one + len(ones)
+    return out
+
+
 def build(tokens: np.ndarray, ids: np.ndarray, nulls: np.ndarray, ends: np.ndarray) -> bytes:
     """The bytes of a shard's file."""
     levels = max(1, int(tokens.max()).bit_length())
@@ -68,17 +97,17 @@ def build(tokens: np.ndarray, ids: np.ndarray, nulls: np.ndarray, ends: np.ndarr
         ("nulls", np.packbits(nulls).tobytes()),
         ("ends", ends.astype("<u8").tobytes()),
     ]
-    zeros, rest = [], tokens
+    zeros, rest = [], tokens.astype("<u2") if levels <= 16 else tokens
     for level in range(levels - 1, -1, -1):
-        bits = (rest >> level & 1).astype(bool)
+        bits = rest & rest.dtype.type(1 << level) != 0
         plane = np.packbits(bits, bitorder="little")
         padded = np.zeros(-(-len(plane) // 64) * 64, np.uint8)
         padded[: len(plane)] = plane
         ones = np.bitwise_count(padded.view("<u8")).reshape(-1, 8).sum(1, dtype=np.int64)
         ranks = np.concatenate([[0], np.cumsum(ones)]).astype("<u4")
         sections += [(f"plane{level}", plane.tobytes()), (f"ranks{level}", ranks.tobytes())]
-        zeros.append(len(bits) - int(bits.sum()))
-        rest = np.concatenate([rest[~bits], rest[bits]])
+        zeros.append(len(bits) - int(np.count_nonzero(bits)))
+        rest = _zeros_first(rest, bits)
     packer = zstandard.ZstdCompressor(level=3)
     packed = [(name, packer.compress(raw)) for name, raw in sections]
     header = {
@@ -198,16 +227,14 @@ class WaveletFile:
 
     def tokens(self) -> np.ndarray:
         """All token ids, from the lowest plane back to the highest."""
-        values = np.zeros(self.n, np.uint32)
+        values = np.zeros(self.n, np.uint16 if self.levels <= 16 else np.uint32)
         for i in range(self.levels - 1, -1, -1):
             plane, _, zeros = self._plane(i)
-            bits = np.unpackbits(plane, count=self.n, bitorder="little").astype(bool)
-            above = np.empty_like(values)
-            above[~bits] = values[:zeros]
-            above[bits] = values[zeros:] | np.uint32(1 << self.levels - 1 - i)
-            values = above
+            bits = np.unpackbits(plane, count=self.n, bitorder="little").view(bool)
+            values[zeros:] |= values.dtype.type(1 << self.levels - 1 - i)
+            values = _back_in_order(values, bits)
             self._planes.pop(i)
-        return values
+        return values.astype(np.uint32)
 
 
 # --- tokenizing ------------------------------------------------------------------
@@ -221,14 +248,23 @@ def byte_letters() -> list[str]:
     return [chr(b if b in printing else next(others)) for b in range(256)]
 
 
+def _entries(column: pa.BinaryArray) -> list[bytes]:
+    """The values of an Arrow column without nulls."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32)[column.offset :][: len(column) + 1].tolist()
+    raw = data.to_pybytes() if data else b""
+    return [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+
 class Encoder:
     """Ids of texts by the tokenizer.
 
     It parts words at white space, and an ASCII letter from the signs that end its
-    word, so the ids of a text are those of its parts; a worker keeps the parts it
-    has seen.  A part of lower-case letters alone is one piece to the tokenizer's
-    model; any other part, and a text that may hold a special token, goes through
-    the whole tokenizer.
+    word, so the ids of a text are those of its words' parts; a worker keeps the
+    words it has seen.  A part of lower-case letters alone is one piece to the
+    tokenizer's model; any other part, and a text that may hold a special token,
+    goes through the whole tokenizer.  Of the texts given at once each distinct
+    word is looked up once.
     """
 
     def __init__(self, path: str):
@@ -242,39 +278,71 @@ class Encoder:
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
     def _learn(self, new: list[bytes]) -> None:
-        others, tokenize = [], self.model.tokenize
+        others, tokenize, letters = [], self.model.tokenize, self.letters
         for raw in new:
-            part = raw.decode()
-            if not (raw.isalpha() and raw.islower()):  # of ASCII letters
+            if raw.isalpha() and raw.islower():  # of ASCII letters
+                part = raw.decode()
+            else:
+                part = raw.decode()
                 plain = part.isalpha() and part == part.lower()
                 if not (plain and is_normalized("NFC", part)):
                     others.append(raw)
                     continue
-                part = "".join([self.letters[b] for b in raw])
-            ids = [token.id for token in tokenize(part)]
-            self.seen[raw] = array("I", ids).tobytes()
+                part = "".join([letters[b] for b in raw])
+            self.seen[raw] = array("I", [token.id for token in tokenize(part)]).tobytes()
         for at in range(0, len(others), ASKED):
             asked = others[at : at + ASKED]
             encoded = self._encode([raw.decode() for raw in asked])
             self.seen.update(zip(asked, encoded, strict=True))
 
+    def _ids(self, distinct: list[bytes]) -> list[bytes]:
+        """The ids of each word."""
+        heads, signs = [], {}
+        for i, word in enumerate(distinct):
+            head = word.rstrip(SIGNS)
+            if len(head) < len(word):
+                if head and 97 <= head[-1] <= 122:  # a-z
+                    signs[i] = word[len(head) :]
+                else:
+                    head = word
+            heads.append(head)
+        seen = self.seen
+        new = dict.fromkeys(part for part in heads if part not in seen)
+        new.update(dict.fromkeys(part for part in signs.values() if part not in seen))
+        self._learn(list(new))
+        ids = [seen[head] for head in heads]
+        for i, part in signs.items():
+            ids[i] += seen[part]
+        return ids
+
     def __call__(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         if len(self.seen) > KEPT:
             self.seen.clear()
-        parts: list[list[bytes] | str] = []
-        for text in texts:
-            if text and "<|" in text:
-                parts.append(text)
-            else:
-                parts.append(ENDING.sub(rb" \1", folded(text)).split())
-        new = set().union(*(found for found in parts if type(found) is list))
-        self._learn([part for part in new if part not in self.seen])
-        for found in parts:
-            if type(found) is list:
-                ids = b"".join([self.seen[part] for part in found])
+        whole = {i: text for i, text in enumerate(texts) if text and "<|" in text}
+        plain = [b"" if i in whole else folded(text) for i, text in enumerate(texts)]
+        split = pc.ascii_split_whitespace(pa.array(plain, pa.binary()).cast(pa.string()))
+        of_text = pc.list_value_length(split).to_numpy()
+        # Where a text begins or ends with blanks there are empty words.
+        found = pc.list_flatten(split).cast(pa.binary()).dictionary_encode()
+        self.seen[b""] = b""
+        ids = self._ids(_entries(found.dictionary))
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        tokens = np.frombuffer(b"".join(ids), dtype="<u4")
+        word = found.indices.to_numpy()
+        first, length = (np.cumsum(length) - length)[word], length[word]
+        last = np.cumsum(length)
+        place = np.repeat(first - (last - length), length)
+        place += np.arange(len(place))
+        tokens = tokens[place]
+        ends = np.concatenate([[0], last])[np.cumsum(of_text)]
+        start = 0
+        for i, end in enumerate(ends.tolist()):
+            if i in whole:
+                own = np.frombuffer(self._encode([whole[i]])[0], dtype="<u4")
             else:
-                ids = self._encode([found])[0]
-            yield np.append(np.frombuffer(ids, dtype="<u4"), np.uint32(END_ID))
+                own = tokens[start:end]
+            yield np.append(own, np.uint32(END_ID))
+            start = end
 
 
 def _writer(tokenizer: str, root: str, shard_tokens: int):
@@ -301,10 +369,10 @@ def _writer(tokenizer: str, root: str, shard_tokens: int):
 
         for frame in frames:
             known = frame["id"].astype(object).where(frame["id"].notna(), None)
-            for at in range(0, len(frame), 256):
+            for at in range(0, len(frame), TEXTS):
                 rows = zip(
-                    known.iloc[at : at + 256],
-                    encode(list(frame["text"].iloc[at : at + 256])),
+                    known.iloc[at : at + TEXTS],
+                    encode(list(frame["text"].iloc[at : at + TEXTS])),
                     strict=True,
                 )
                 for id_, tokens in rows:
