@@ -36,16 +36,19 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstrata.llm.common import Scratch, folded, range_numbered
+from clickstrata.llm.common import LOWER, UPPER, Scratch, entries, range_numbered
 
 # Fixed value: what parts pieces; blanks and tabs part words.
-PIECES = rb"[ \t]*[.,;:!?\x0A-\x0D][ \t.,;:!?\x0A-\x0D]*"
+PIECES = b".,;:!?\x0A\x0B\x0C\x0D"
 BREAK = b"."  # no word can be one
+_FOLD = bytes.maketrans(UPPER.encode() + PIECES, LOWER.encode() + BREAK * len(PIECES))
+_EMPTY = re.compile(rb"\.[ \t.]*\.")  # nothing but empty pieces
 EVERY = 16
 CHUNK = 4096
 BITS = 1 << 26
@@ -60,16 +63,17 @@ CHUNKS = "lang string, chunk string, n long"
 
 def tokens(text: str | None) -> list[bytes]:
     """Lower-cased words with a break between pieces."""
-    return re.sub(PIECES, b" . ", folded(text)).split()
+    parted = _EMPTY.sub(BREAK, (text or "").encode().translate(_FOLD))
+    return parted.replace(BREAK, b" . ").split()
 
 
-class _Hashes(dict):
-    def __missing__(self, token: bytes) -> int:
-        value = self[token] = zlib.crc32(token)
-        return value
+class _Hashes:
+    """The hash of each token; words are short, so that looking it up takes longer."""
 
+    __getitem__ = staticmethod(zlib.crc32)
 
-def chunks(row: list[bytes], w: int, hashes: dict, every: int = EVERY) -> Iterator[bytes]:
+
+def chunks(row: list[bytes], w: int, hashes: _Hashes, every: int = EVERY) -> Iterator[bytes]:
     """The chunks of a text, the last w tokens of each being the next one's first."""
     n = len(row)
     row = row + [BREAK] * w
@@ -101,8 +105,8 @@ def _parsing(w: int, every: int) -> Callable:
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
+        hashes = _Hashes()
         for batch in batches:
-            hashes = _Hashes()
             langs = batch.column("lang").to_pylist()
             for lang, text in zip(langs, batch.column("text"), strict=True):
                 row = tokens(text.as_py())
@@ -126,7 +130,7 @@ def runs(table: pa.Table, n: int, w: int, filters: list[np.ndarray]) -> pa.Table
     encoded = pc.list_flatten(split).dictionary_encode()
     word = encoded.indices.to_numpy().astype(np.int64)
     spelled = encoded.dictionary
-    crc = np.array([zlib.crc32(x) for x in spelled.to_pylist()], np.int64)[word]
+    crc = np.array([zlib.crc32(x) for x in entries(spelled)], np.int64)[word]
     chunk = np.repeat(np.arange(len(length)), length)
     ends = np.cumsum(length)
     # Where a run may begin: a word before the last w tokens of its chunk.
@@ -141,15 +145,23 @@ def runs(table: pa.Table, n: int, w: int, filters: list[np.ndarray]) -> pa.Table
         # Both runs of m words inside one of m + 1 have to be usable.
         usable = usable[:-1] & usable[1:]
         codes = run[:-1] * len(word) + run[1:]
+        if m == n - 1:  # no longer run is made of these
+            run = codes
+            break
         run = np.zeros(len(codes), np.int64)
-        run[usable] = np.unique(codes[usable], return_inverse=True)[1]
+        run[usable] = pd.factorize(codes[usable])[0]
         hashed = (hashed[:-1] * FACTOR + crc[m:]) & MASK
     at = np.nonzero(usable & begins[: len(usable)])[0]
 
     langs = table["lang"].combine_chunks().dictionary_encode()
     lang = langs.indices.to_numpy()[chunk[at]]
+    # A run of two words is the code of a pair, too large beside very many languages.
+    if len(langs.dictionary) * len(word) ** 2 >= 1 << 63:
+        run = pd.factorize(run)[0]
     code = run[at] * max(len(langs.dictionary), 1) + lang
-    _, first, inverse = np.unique(code, return_index=True, return_inverse=True)
+    inverse, distinct = pd.factorize(code)
+    first = np.zeros(len(distinct), np.int64)
+    first[inverse[::-1]] = np.arange(len(code))[::-1]
     weights = table["n"].to_numpy()[chunk[at]]
     counts = np.zeros(len(first), np.int64)
     np.add.at(counts, inverse, weights)

@@ -41,6 +41,7 @@ from tokenizers import Tokenizer
 
 from clickstrata.llm.common import (
     Scratch,
+    entries,
     file_uri,
     folded,
     text_id,
@@ -248,14 +249,6 @@ def byte_letters() -> list[str]:
     return [chr(b if b in printing else next(others)) for b in range(256)]
 
 
-def _entries(column: pa.BinaryArray) -> list[bytes]:
-    """The values of an Arrow column without nulls."""
-    _, offsets, data = column.buffers()
-    ends = np.frombuffer(offsets, np.int32)[column.offset :][: len(column) + 1].tolist()
-    raw = data.to_pybytes() if data else b""
-    return [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)]
-
-
 class Encoder:
     """Ids of texts by the tokenizer.
 
@@ -325,7 +318,7 @@ class Encoder:
         # Where a text begins or ends with blanks there are empty words.
         found = pc.list_flatten(split).cast(pa.binary()).dictionary_encode()
         self.seen[b""] = b""
-        ids = self._ids(_entries(found.dictionary))
+        ids = self._ids(entries(found.dictionary))
         length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         tokens = np.frombuffer(b"".join(ids), dtype="<u4")
         word = found.indices.to_numpy()

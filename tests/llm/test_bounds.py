@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import random
+import re
 import tracemalloc
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pytest
 from tokenizers import Tokenizer
 
-from clickstrata.llm import wavelet
+from clickstrata.llm import collocations, wavelet
 
 
 def test_a_shard_is_built_and_read_in_little_memory():
@@ -46,3 +51,38 @@ def test_encoder_parts_words_as_the_tokenizer_does(monkeypatch):
             plain = tokenizer.encode(text or "", add_special_tokens=False)
             assert ids.tolist() == [*plain.ids, wavelet.END_ID]
     assert len(encoder.seen) < 2000
+
+
+def test_pieces_are_parted_as_the_rule_says():
+    rule = re.compile(rb"[ \t]*[.,;:!?\x0A-\x0D][ \t.,;:!?\x0A-\x0D]*")
+    rng = random.Random(1)
+    for _ in range(3000):
+        text = "".join(rng.choice("aB .,;:!?\n\r\x0b\x0c\t\x1cé") for _ in range(rng.randrange(25)))
+        folded = re.sub(rb"[A-Z]", lambda m: m[0].lower(), text.encode())
+        assert collocations.tokens(text) == rule.sub(b" . ", folded).split()
+
+
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_runs_are_counted_without_sorting(monkeypatch, n):
+    rng = np.random.default_rng(4)
+    langs = [f"l{x}" for x in rng.integers(0, 5, 300)]
+    rows = [[b"." if x == 9 else b"w%d" % x for x in rng.integers(0, 12, 20)] for _ in langs]
+    weights = rng.integers(1, 9, 300)
+    table = pa.table(
+        {
+            "lang": langs,
+            "chunk": [b" ".join(row).decode() for row in rows],
+            "n": pa.array(weights, pa.int64()),
+        }
+    )
+    plain = Counter()
+    for lang, row, weight in zip(langs, rows, weights.tolist(), strict=True):
+        for i in range(len(row) - 2):
+            run = row[i : i + n]
+            if b"." not in run:
+                plain[lang, b" ".join(run).decode()] += weight
+    monkeypatch.setattr(np, "unique", None)
+    full = np.full(collocations.BITS // 8, 255, np.uint8)
+    found = collocations.runs(table, n, 2, [full] * (n - 1))
+    assert len(found) == len(plain)
+    assert {(r["lang"], r["phrase"]): r["n"] for r in found.to_pylist()} == plain
