@@ -297,8 +297,8 @@ def _part(first: Column, length: Column) -> Column:
 def _scored(candidates: DataFrame, counts: DataFrame, scratch: Scratch) -> DataFrame:
     """(lang, phrase, a, l, r, score) by each candidate's lowest cut.
 
-    A part as common as an article is looked up by very many candidates, so the
-    parts' counts are repeated for ``SALTS`` salts, over which the candidates spread.
+    A word as common as an article is looked up by very many candidates, so the
+    words' counts are repeated for ``SALTS`` salts, over which the candidates spread.
     """
     cuts = (
         candidates.withColumn("tokens", F.split("phrase", " "))
@@ -310,13 +310,16 @@ def _scored(candidates: DataFrame, counts: DataFrame, scratch: Scratch) -> DataF
             "k",
             _part(F.lit(1), F.col("k")).alias("left"),
             _part(F.col("k") + 1, F.col("words") - F.col("k")).alias("right"),
-            F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int").alias("salt"),
+            (F.col("words") - F.col("k")).alias("rest"),
         )
     )
-    salted = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    for side, name in (("left", "l"), ("right", "r")):
+    last = F.when(F.col("words") == 1, SALTS - 1).otherwise(0)
+    salted = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), last)))
+    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int")
+    for side, name, length in (("left", "l", "k"), ("right", "r", "rest")):
         of = salted.select("lang", F.col("phrase").alias(side), "salt", F.col("f").alias(name))
-        cuts = cuts.join(of, ["lang", side, "salt"])
+        cuts = cuts.withColumn("salt", F.when(F.col(length) == 1, salt).otherwise(0))
+        cuts = cuts.join(of, ["lang", side, "salt"]).drop("salt")
     a, l, r = (f"cast({c} as decimal(15,0))" for c in "alr")
     score = F.expr(f"cast((cast({SCALE} as decimal(7,0)) * ({a} * {a})) div ({l} * {r}) as long)")
     lowest = F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut")

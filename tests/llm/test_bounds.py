@@ -86,3 +86,20 @@ def test_runs_are_counted_without_sorting(monkeypatch, n):
     found = collocations.runs(table, n, 2, [full] * (n - 1))
     assert len(found) == len(plain)
     assert {(r["lang"], r["phrase"]): r["n"] for r in found.to_pylist()} == plain
+
+
+def test_only_words_are_repeated_for_the_lookups(spark):
+    counts = spark.createDataFrame(
+        [("en", "a", 40, 1), ("en", "b", 30, 1), ("en", "c", 20, 1)]
+        + [("en", "a b", 20, 2), ("en", "b c", 15, 2), ("en", "a b c", 12, 3)],
+        "lang string, phrase string, f long, words int",
+    )
+    scored = collocations._scored(counts.filter("words > 1"), counts, None)
+    found = {r.phrase: (r.a, r.l, r.r, r.score) for r in scored.collect()}
+    assert found == {
+        "a b": (20, 40, 30, 10**6 * 400 // 1200),
+        "b c": (15, 30, 20, 10**6 * 225 // 600),
+        "a b c": (12, 40, 15, 10**6 * 144 // 600),
+    }
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN (words" in plan  # how many salts a row gets
