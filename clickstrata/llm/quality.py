@@ -203,7 +203,11 @@ def train(texts: DataFrame, scratch: Scratch) -> tuple[DataFrame, float]:
         _order(bigrams.selectExpr("two gram", "mid context", "c"), scratch, "two"),
         _order(trigrams.selectExpr("three gram", "head context", "c"), scratch, "three"),
     ]
-    fitted = [scratch.store(df, f"order-{i}") for i, df in enumerate(orders)]
+    scratch.drop("trigrams")  # the counts of all orders are stored
+    fitted = []
+    for i, (df, name) in enumerate(zip(orders, ("one", "two", "three"), strict=True)):
+        fitted.append(scratch.store(df, f"order-{i}"))
+        scratch.drop(f"{name}-counts")
     weights = [
         upper.select(F.col("context").alias("gram"), "weight").distinct()
         for upper in fitted[1:]
@@ -220,6 +224,7 @@ def train(texts: DataFrame, scratch: Scratch) -> tuple[DataFrame, float]:
         weight = F.coalesce("weight", F.lit(1.0)).cast("float").alias("weight")
         held.append(scratch.store(rows.select("gram", share, weight), f"held-{i}"))
     top = fitted[0].select("weight").first()
+    scratch.drop(*(f"order-{i}" for i in range(len(fitted))))
     vocabulary = max(held[0].count(), 1) + 1
     return reduce(DataFrame.union, held), (top["weight"] if top else 1.0) / vocabulary
 
@@ -331,11 +336,11 @@ def classify(
     def fitted(ids: DataFrame, name: str) -> tuple[DataFrame, float]:
         return train(labelled_so(rows, ids).select("text"), Scratch(spark, name))
 
-    models = [fitted(trusted.filter(~kept), "quality-trusted")]
-    if not labelled_so(rows, bad).isEmpty():
-        models.append(fitted(bad, "quality-bad"))
-
-    scored = scratch.store(scores(rows, models), "scores")
+    with passing(spark):  # the models and what was shuffled for them go with the scores
+        models = [fitted(trusted.filter(~kept), "quality-trusted")]
+        if not labelled_so(rows, bad).isEmpty():
+            models.append(fitted(bad, "quality-bad"))
+        scored = scratch.store(scores(rows, models), "scores")
     scored = rows.select("at", "id", "lang", *carry).join(scored, "at").drop("at")
     scored = scratch.store(scored, "scored")
     scratch.drop("rows", "scores")

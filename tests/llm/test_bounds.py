@@ -13,7 +13,8 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from clickstrata.llm import collocations, wavelet
+from clickstrata.llm import collocations, quality, wavelet
+from clickstrata.llm.common import Scratch
 
 
 def test_a_shard_is_built_and_read_in_little_memory():
@@ -103,3 +104,32 @@ def test_only_words_are_repeated_for_the_lookups(spark):
     }
     plan = scored._jdf.queryExecution().optimizedPlan().toString()
     assert "CASE WHEN (words" in plan  # how many salts a row gets
+
+
+def test_classifier_leaves_no_model_or_count_behind(spark, monkeypatch):
+    stored, dropped = set(), set()
+    store, drop = Scratch.store, Scratch.drop
+
+    def storing(self, df, name):
+        stored.add(self.path(name))
+        return store(self, df, name)
+
+    def dropping(self, *names):
+        drop(self, *names)
+        gone = [self.path(name).rstrip("/") for name in names]
+        dropped.update(x for x in stored if any(f"{x}/".startswith(f"{g}/") for g in gone))
+
+    monkeypatch.setattr(Scratch, "store", storing)
+    monkeypatch.setattr(Scratch, "drop", dropping)
+    rng = np.random.default_rng(5)
+    docs = spark.createDataFrame(
+        [(i, " ".join(f"w{x}" for x in rng.integers(0, 50, 30)), "en") for i in range(80)],
+        "doc_id long, text string, lang string",
+    )
+    labels = spark.createDataFrame(
+        [(i, int(i < 50), 0) for i in range(70)], "doc_id long, quality int, toxic int"
+    )
+    judged = quality.classify(docs, labels)
+    assert judged.count() == 80
+    left = {x.rpartition("/")[2] for x in stored - dropped}
+    assert left == {"labelled", "scored", *(f"{x}-limits" for x in ("threshold", "most", "most_word"))}
