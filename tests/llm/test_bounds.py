@@ -14,7 +14,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from clickstrata.llm import collocations, quality, wavelet
-from clickstrata.llm.common import Scratch
+from clickstrata.llm.common import Scratch, words
 
 
 def test_a_shard_is_built_and_read_in_little_memory():
@@ -133,3 +133,60 @@ def test_classifier_leaves_no_model_or_count_behind(spark, monkeypatch):
     assert judged.count() == 80
     left = {x.rpartition("/")[2] for x in stored - dropped}
     assert left == {"labelled", "scored", *(f"{x}-limits" for x in ("threshold", "most", "most_word"))}
+
+
+def test_places_are_words_after_the_two_before():
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("aBÉ x\0\t\n\x0b\x1c\x85 ") for _ in range(60)) for _ in range(99)]
+    texts += [None, "", " ", "x" * 63, "x" * 64, "x" * 65, "x" * 9, "x" * 8, "X" * 200, "y" * 200]
+    w1, w2, w3, doc = quality.places(texts)
+    keys, at = {}, 0
+    for i, text in enumerate(texts):
+        before = [int(quality.START)] * 2
+        for word in [*words(text), b" end"]:
+            assert [int(w1[at]), int(w2[at]), int(doc[at])] == [*before, i]
+            assert keys.setdefault(word, int(w3[at])) == int(w3[at])
+            before, at = [before[1], int(w3[at])], at + 1
+    assert at == len(w3) and len(set(keys.values())) == len(keys)
+    assert len(quality.places([])[2]) == 0
+
+
+def test_classifier_stores_no_row_for_an_ngram(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.4, 300) % 999) for _ in range(120)]
+    docs = spark.createDataFrame(
+        [(i, t, "en") for i, t in enumerate([*texts, texts[0], None])],
+        "doc_id long, text string, lang string",
+    )
+    labels = spark.createDataFrame(
+        [(i, int(i < 80), 0) for i in range(100)], "doc_id long, quality int, toxic int"
+    )
+    stored = []
+    store = Scratch.store
+
+    def storing(self, df, name):
+        kept = store(self, df, name)
+        stored.append(kept.count())
+        return kept
+
+    whole = sorted(quality.classify(docs, labels).collect())
+    monkeypatch.setattr(Scratch, "store", storing)
+    assert sorted(quality.classify(docs, labels).collect()) == whole
+    assert max(stored) < 10 * len(texts)  # the texts have some 30,000 trigrams
+    # The same from many shards, with frequent words split over several.
+    monkeypatch.setattr(quality, "SHARD", 2000)
+    monkeypatch.setattr(quality, "ASKED", 300)
+    monkeypatch.setattr(quality, "TEXT_BYTES", 500)
+    split, shard = [], quality.laid_out
+
+    def laid_out(*args):
+        layout, sizes = shard(*args)
+        split.extend(layout.parts.tolist())
+        assert layout.shards > layout.rounds == quality.ROUNDS
+        return layout, sizes
+
+    monkeypatch.setattr(quality, "laid_out", laid_out)
+    found = sorted(quality.classify(docs, labels).collect())
+    assert max(split) > 2
+    for x, y in zip(found, whole, strict=True):
+        assert x == pytest.approx(y, rel=1e-9) if x.perplexity != y.perplexity else x == y
