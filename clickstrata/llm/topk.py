@@ -3,6 +3,10 @@
 Vectors are scaled and rounded down to integers, so that scores are exact.  They
 are dealt by hash into blocks; every block of queries meets every block of
 candidates of its dimension, and a task scores such a pair with one matrix product.
+Blocks of candidates lie in shares, and a block of queries is sent once to each
+share, not to each block: ``SHARES`` times, until a share would hold more than
+``TOGETHER`` blocks.  Blocks are never broadcast: Spark reckons what they are repeated
+to from the size before, so that it would send any amount by way of the driver.
 
 1. For each query the scores of all candidates go into a histogram of ``BINS``
    bins over the range that the lengths of the vectors allow.  The histograms of
@@ -19,8 +23,8 @@ wanted: the k-th highest of all can't be lower, and every bin above is whole.  S
 pair sends about k rows a query however many candidates it has, and a task adds up
 its pairs before the shuffle.
 
-Bounds: a block has about ``QUERIES`` or ``CANDIDATES`` vectors; the driver only
-sees counts and the widest range.  The work is all queries times all candidates.
+Bounds: a block has about ``QUERIES`` or ``CANDIDATES`` vectors, and a task holds the
+candidates of a share; the driver only sees counts and the widest range.  The work is all queries times all candidates.
 
 Defined results: vectors that are null or hold null or non-finite components take
 no part; vectors only meet those of their dimension; a row is not its own
@@ -41,17 +45,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clickstrata.llm.common import Scratch
+from clickstrata.llm.common import Scratch, passing
 
 BINS = 256
 QUERIES = 1024
 CANDIDATES = 4096
+SHARES = 64  # of the candidates; more where one would hold more than TOGETHER blocks
+TOGETHER = 16
 AT_ONCE = 128  # queries scored at once
 EXACT = 2.0**53
 BEYOND = 4 * 10**18  # scores and the differences between them fit a long
 
 BLOCK = "d int, block long, row binary, id binary, no_id binary, v binary"
 STATE = ("lo", "span", "above")
+# A block is one long row: the writer looks at sizes after each, not first after 100.
+LONG_ROWS = {
+    "parquet.block.size": str(16 << 20),
+    "parquet.block.size.row.check.min": "1",
+    "parquet.page.size.row.check.min": "1",
+}
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
@@ -67,6 +79,14 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: float) ->
     return rows.select("id", "asks", F.size("v").alias("d"), "v", F.sqrt(squares).alias("length"))
 
 
+def _narrow(v: np.ndarray) -> np.ndarray:
+    """The same integers in as few bytes as hold them all."""
+    for kind in (np.int8, np.int16, np.int32) if v.size else ():
+        if np.iinfo(kind).min <= v.min() and v.max() <= np.iinfo(kind).max:
+            return v.astype(kind)
+    return v
+
+
 def _pack(state: bool) -> Callable:
     """One row of a block's vectors, ids and, for queries, ranges."""
 
@@ -78,7 +98,9 @@ def _pack(state: bool) -> Callable:
             "row": rows.column("row").to_numpy(),
             "id": ids.fill_null(0).to_numpy(),
             "no_id": ids.is_null().to_numpy(),
-            "v": rows.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False),
+            "v": _narrow(
+                rows.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            ),
         }
         if state:
             held |= {c: rows.column(c).to_numpy() for c in STATE}
@@ -92,6 +114,11 @@ def _numbers(batch: pa.RecordBatch, column: str, row: int, kind=np.int64) -> np.
     return np.frombuffer(batch.column(column)[row].as_py(), kind)
 
 
+def _vectors(batch: pa.RecordBatch, column: str, row: int, n: int, d: int) -> np.ndarray:
+    width = len(batch.column(column)[row].as_py()) // max(n * d, 1)
+    return _numbers(batch, column, row, f"i{width or 8}").reshape(n, d)
+
+
 def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Exact inner products of integer vectors as longs."""
     longest = [math.sqrt(float((m.astype(float) ** 2).sum(axis=1).max())) for m in (q, c)]
@@ -108,8 +135,8 @@ def _scored(batch: pa.RecordBatch, row: int) -> Iterator[tuple]:
     """(queries' slice, scores, own) of a pair, some queries at a time."""
     d = batch.column("d")[row].as_py()
     asked, found = _numbers(batch, "q_row", row), _numbers(batch, "c_row", row)
-    q = _numbers(batch, "q_v", row).reshape(len(asked), d)
-    c = _numbers(batch, "c_v", row).reshape(len(found), d)
+    q = _vectors(batch, "q_v", row, len(asked), d)
+    c = _vectors(batch, "c_v", row, len(found), d)
     order = np.argsort(found)
     for at in range(0, len(asked), AT_ONCE):
         part = slice(at, at + AT_ONCE)
@@ -184,12 +211,17 @@ def _pairs(queries: DataFrame, candidates: DataFrame, blocks: int) -> DataFrame:
     schema = BLOCK + "".join(f", {c} binary" for c in STATE)
     packed = queries.groupBy("d", "block").applyInArrow(_pack(state=True), schema)
     q = packed.select("d", *[F.col(c).alias(f"q_{c}") for c in ("row", "id", "v", *STATE)])
-    every = F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
-    q = q.withColumn("block", F.explode(every))
+    shares = max(min(blocks, SHARES), math.ceil(blocks / TOGETHER))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))
+    q = q.withColumn("share", F.explode(every))
     c = candidates.select(
-        "d", "block", *[F.col(c).alias(f"c_{c}") for c in ("row", "id", "no_id", "v")]
+        "d",
+        F.pmod("block", F.lit(shares)).cast("long").alias("share"),
+        *[F.col(c).alias(f"c_{c}") for c in ("row", "id", "no_id", "v")],
     )
-    return q.join(c, ["d", "block"])
+    # Dealt out by number: a task's work is its pairs, which their bytes say little of.
+    by = (2 * shares, "d", "share")
+    return q.repartition(*by).hint("merge").join(c.repartition(*by), ["d", "share"])
 
 
 def top_k(
@@ -221,7 +253,8 @@ def top_k(
 
     candidates = rows.withColumn("block", block(blocks)).drop("asks", "length")
     candidates = candidates.groupBy("d", "block").applyInArrow(_pack(state=False), BLOCK)
-    candidates = scratch.store(candidates, "candidates")
+    with passing(vectors.sparkSession):
+        candidates = scratch.store(candidates, "candidates", **LONG_ROWS)
 
     # No score exceeds the product of the lengths; one row a dimension.
     reach = scratch.store(rows.groupBy("d").agg(F.max("length").alias("most")), "lengths")
@@ -243,9 +276,10 @@ def top_k(
     queries = scratch.store(queries, "queries-0")
     turn = 0
     while (queries.agg(F.max("span")).first()[0] or 0) > 1:
-        queries = scratch.store(
-            _narrowed(queries, _pairs(queries, candidates, blocks), k), f"queries-{turn + 1}"
-        )
+        with passing(vectors.sparkSession):
+            queries = scratch.store(
+                _narrowed(queries, _pairs(queries, candidates, blocks), k), f"queries-{turn + 1}"
+            )
         scratch.drop(f"queries-{turn}")
         turn += 1
 

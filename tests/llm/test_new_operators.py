@@ -87,6 +87,34 @@ def test_top_k_of_scores_beyond_a_double(spark):
     assert found_top_k(spark, rows, 5) == plain_top_k(rows, 5)
 
 
+def test_top_k_with_many_blocks_in_a_share(spark):
+    rng = np.random.default_rng(6)
+    widths = [0.5, 30.0, 5000.0, 1e7]  # kept in one, two, four and eight bytes
+    rows = [(i, (rng.normal(size=4) * widths[i // 75]).tolist()) for i in range(300)]
+    assert math.ceil(len(rows) / 2) > 2 * topk.SHARES
+    assert found_top_k(spark, rows, 7, query_rows=4, candidate_rows=2) == plain_top_k(rows, 7)
+
+
+def test_top_k_never_broadcasts_blocks(spark):
+    """Repeated for the candidates, queries reach any size, whatever theirs was reckoned."""
+    rows = spark.createDataFrame(
+        [(i, [float(i), 1.0]) for i in range(200)], "vec_id long, embedding array<double>"
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10g")
+    try:
+        found = topk.top_k(rows, F.col("vec_id") % 20 == 0, 3, candidate_rows=10)
+        plan = found._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
+def test_integers_are_kept_in_as_few_bytes_as_hold_them():
+    for values, width in (([-128, 127], 1), ([-129, 0], 2), ([0, 32768], 4), ([2**31], 8), ([], 8)):
+        kept = topk._narrow(np.array(values, np.int64))
+        assert kept.itemsize == width and kept.tolist() == values
+
+
 # --- resampling ---------------------------------------------------------------
 
 TEXTS = [
